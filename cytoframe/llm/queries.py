@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cytoframe.llm import bpe, simhash
+from cytoframe.llm import bpe, mixing, sharding, simhash
 from cytoframe.llm.common import read
 
 
@@ -27,6 +27,37 @@ def op3_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.bpe_digests(read(spark, sf_dir, "documents"), ranks_path(), split_pattern())
 
 
+#: Bytes of text in one shard of op8_extendible_shards, at most.
+SHARD_BYTES = 1 << 20
+
+
+def op8_extendible_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assign_shards(read(spark, sf_dir, "documents"), SHARD_BYTES)
+
+
+OP8_SQL = f"""
+WITH d AS (
+  SELECT doc_id, coalesce(strlen(text), 0)::BIGINT AS n_bytes,
+         ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || chr(31) || coalesce(text, '')), 1, 8))::BIGINT AS h
+  FROM documents),
+level AS (SELECT unnest(range(0, 33))::INT AS depth),
+bucket AS (
+  SELECT depth, h >> (32 - depth) AS cell, sum(n_bytes)::BIGINT AS shard_bytes
+  FROM (SELECT DISTINCT depth FROM level), d GROUP BY 1, 2),
+leaf AS (
+  SELECT d.doc_id, d.n_bytes, d.h, min(b.depth)::INT AS depth
+  FROM d JOIN level l ON true JOIN bucket b ON b.depth = l.depth AND b.cell = d.h >> (32 - l.depth)
+  WHERE b.shard_bytes <= {SHARD_BYTES} GROUP BY ALL)
+SELECT l.doc_id, l.n_bytes, substr(lpad(bin(l.h), 32, '0'), 1, l.depth) AS shard, l.depth, b.shard_bytes, false AS over
+FROM leaf l JOIN bucket b ON b.depth = l.depth AND b.cell = l.h >> (32 - l.depth)
+"""
+
+
+def op9_pivotal_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix_copies(read(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "source", "copies")
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash.simhash_groups(read(spark, sf_dir, "documents"))
     return groups.select("doc_id", simhash.hex_of("fp").alias("fingerprint"), "component_id")
@@ -35,9 +66,11 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op3_bpe_round_trip": op3_bpe_round_trip,
+        "op8_extendible_shards": op8_extendible_shards,
+        "op9_pivotal_mix": op9_pivotal_mix,
         "op10_simhash": op10_simhash,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op8_extendible_shards": OP8_SQL}
