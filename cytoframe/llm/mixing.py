@@ -131,7 +131,7 @@ def mixed_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """The rows of docs, each as often as its copies say, with all columns."""
     copies = mix_copies(docs, doc_id, text, source, **options)
     none = F.lit("\x00")
-    tag = lambda df, i, s, n: df.withColumn("_id", F.coalesce(F.col(i).cast("string"), none)).withColumn("_o", F.row_number().over(Window.partitionBy("_id").orderBy(F.col(s).asc_nulls_last(), n)))
+    tag = lambda df, i, s, n: df.withColumn("__id", F.coalesce(F.col(i).cast("string"), none)).withColumn("__o", F.row_number().over(Window.partitionBy("__id").orderBy(F.col(s).asc_nulls_last(), n)))
     left = tag(docs, doc_id, source, size_in_words(F.col(text)))
-    right = tag(copies, "doc_id", "source", F.col("size")).where("copies > 0").select("_id", "_o", F.col("copies").alias("_c"))
-    return left.join(right, ["_id", "_o"]).withColumn("_i", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_c")))).select(*docs.columns)
+    right = tag(copies, "doc_id", "source", F.col("size")).where("copies > 0").select("__id", "__o", F.col("copies").alias("__c"))
+    return left.join(right, ["__id", "__o"]).withColumn("__i", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("__c")))).select(*docs.columns)

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cytoframe.llm import bpe, mixing, sharding, simhash
-from cytoframe.llm.common import read
+from cytoframe.llm import bpe, mixing, pii, sharding, simhash
+from cytoframe.llm.common import checkpoint, read
 
 
 def ranks_path() -> str:
@@ -27,6 +27,17 @@ def op3_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.bpe_digests(read(spark, sf_dir, "documents"), ranks_path(), split_pattern())
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    # texts are read once: spans and votes are narrow, and both the fit and the result come from them
+    seen = checkpoint(pii.examined(docs).select("doc_id", "base", "cands"))
+    model = pii.fit_cells(pii.count_cells(seen))
+    every = seen.withColumn("added", pii.accepted(model, F.col("base"), F.col("cands")))
+    counts = [F.size(F.expr(f"filter(base, s -> s.kind = '{k}')")).cast("bigint").alias(f"n_{k}") for k in pii.BASE_KINDS]
+    extra = F.size("added").cast("bigint").alias("n_added")
+    return every.select("doc_id", *counts, F.sha2(pii.joined(F.col("base")), 256).alias("base_sha256"), pii.joined(F.concat("base", "added")).alias("spans"), extra)
+
+
 #: Bytes of text in one shard of op8_extendible_shards, at most.
 SHARD_BYTES = 1 << 20
 
@@ -66,6 +77,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op3_bpe_round_trip": op3_bpe_round_trip,
+        "op5_pii": op5_pii,
         "op8_extendible_shards": op8_extendible_shards,
         "op9_pivotal_mix": op9_pivotal_mix,
         "op10_simhash": op10_simhash,

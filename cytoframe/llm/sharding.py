@@ -84,25 +84,25 @@ def _frame(spark, cell, depth, held) -> DataFrame:
 def with_shards(rows: DataFrame, directory: list[tuple[int, DataFrame]], limit: int, h: str = "h", size: str = "size") -> DataFrame:
     """Add shard (the bits of the prefix; '-page' where needed), depth, shard_bytes and over."""
     cur, todo = rows, F.lit(True)
-    cur = cur.withColumns({"_d": F.lit(None).cast("int"), "_b": F.lit(None).cast("bigint")})
+    cur = cur.withColumns({"__d": F.lit(None).cast("int"), "__b": F.lit(None).cast("bigint")})
     for bits, cells in directory:
-        got = cells.select(F.col("cell").alias("_cell"), F.col("depth").alias("_nd"), F.col("bytes").alias("_nb"))
+        got = cells.select(F.col("cell").alias("__cell"), F.col("depth").alias("__nd"), F.col("bytes").alias("__nb"))
         # bounded: 2**MOST_BITS cells in the first round, 2**ROUND_BITS for each cell that is still too large later
-        cur = cur.withColumn("_cell", F.when(F.coalesce(F.col("_d"), F.lit(-1)) < 0, F.shiftrightunsigned(F.col(h), HASH_BITS - bits))).join(F.broadcast(got), "_cell", "left")
-        cur = cur.withColumns({"_d": F.coalesce("_nd", "_d"), "_b": F.coalesce("_nb", "_b")}).drop("_cell", "_nd", "_nb")
-    fine = cur.where("_d >= 0")
-    name = F.substring(F.lpad(F.bin(F.col(h)), HASH_BITS, "0"), F.lit(1), F.col("_d"))
-    fine = fine.select(*rows.columns, name.alias("shard"), F.col("_d").alias("depth"), F.col("_b").alias("shard_bytes"), F.lit(False).alias("over"))
+        cur = cur.withColumn("__cell", F.when(F.coalesce(F.col("__d"), F.lit(-1)) < 0, F.shiftrightunsigned(F.col(h), HASH_BITS - bits))).join(F.broadcast(got), "__cell", "left")
+        cur = cur.withColumns({"__d": F.coalesce("__nd", "__d"), "__b": F.coalesce("__nb", "__b")}).drop("__cell", "__nd", "__nb")
+    fine = cur.where("__d >= 0")
+    name = F.substring(F.lpad(F.bin(F.col(h)), HASH_BITS, "0"), F.lit(1), F.col("__d"))
+    fine = fine.select(*rows.columns, name.alias("shard"), F.col("__d").alias("depth"), F.col("__b").alias("shard_bytes"), F.lit(False).alias("over"))
     stuck_possible = directory[-1][1].where("depth < 0").limit(1).count() > 0
     if not stuck_possible:
         return fine
     # rows that agree in all bits: pages of whole rows, an exact fallback for repeats of a row and for single large texts
-    stuck = cur.where("_d < 0").withColumn("_max", F.max(size).over(Window.partitionBy(h)))
+    stuck = cur.where("__d < 0").withColumn("__max", F.max(size).over(Window.partitionBy(h)))
     # every page gets at most limit // largest row rows, one at least
-    room = F.greatest(F.lit(1), F.floor(F.lit(limit) / F.greatest(F.col("_max"), F.lit(1))))
-    stuck = stuck.withColumn("_page", F.floor((F.row_number().over(Window.partitionBy(h).orderBy(F.col(size).desc(), F.xxhash64(*rows.columns))) - 1) / room))
-    stuck = stuck.withColumn("_held", F.sum(size).over(Window.partitionBy(h, "_page")))
-    paged = stuck.select(*rows.columns, F.concat(F.lpad(F.bin(F.col(h)), HASH_BITS, "0"), F.lit("-"), F.col("_page").cast("string")).alias("shard"), F.lit(HASH_BITS).alias("depth"), F.col("_held").alias("shard_bytes"), (F.col("_held") > limit).alias("over"))
+    room = F.greatest(F.lit(1), F.floor(F.lit(limit) / F.greatest(F.col("__max"), F.lit(1))))
+    stuck = stuck.withColumn("__page", F.floor((F.row_number().over(Window.partitionBy(h).orderBy(F.col(size).desc(), F.xxhash64(*rows.columns))) - 1) / room))
+    stuck = stuck.withColumn("__held", F.sum(size).over(Window.partitionBy(h, "__page")))
+    paged = stuck.select(*rows.columns, F.concat(F.lpad(F.bin(F.col(h)), HASH_BITS, "0"), F.lit("-"), F.col("__page").cast("string")).alias("shard"), F.lit(HASH_BITS).alias("depth"), F.col("__held").alias("shard_bytes"), (F.col("__held") > limit).alias("over"))
     return fine.unionByName(paged)
 
 
@@ -115,6 +115,7 @@ def assign_shards(docs: DataFrame, limit: int, doc_id: str = "doc_id", text: str
 
 def write_shards(docs: DataFrame, path: str, limit: int, doc_id: str = "doc_id", text: str = "text") -> None:
     """Write the rows as Parquet, a folder for each shard; all columns pass through."""
-    sized = docs.withColumns({"h": row_hash(F.col(doc_id), F.col(text)), "size": F.coalesce(F.octet_length(F.col(text).cast("string")), F.lit(0)).cast("bigint")})
-    table = shard_table(sized.select("h", "size"), limit)
-    with_shards(sized, table, limit).drop("h", "size", "depth", "shard_bytes", "over").repartition("shard").write.partitionBy("shard").parquet(path)
+    sized = docs.withColumns({"__h": row_hash(F.col(doc_id), F.col(text)), "__size": F.coalesce(F.octet_length(F.col(text).cast("string")), F.lit(0)).cast("bigint")})
+    table = shard_table(sized.select("__h", "__size"), limit, "__h", "__size")
+    out = with_shards(sized, table, limit, "__h", "__size").select(*docs.columns, "shard")
+    out.repartition("shard").write.partitionBy("shard").parquet(path)

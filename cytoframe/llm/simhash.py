@@ -55,7 +55,9 @@ def simhash_fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "t
 def ball_links(fps: DataFrame, fp: str = "fp") -> DataFrame:
     """(a, b): links between distinct fingerprints within two bits, a star around the smallest member of each bucket."""
     one = F.lit(1).cast("bigint")
-    node = fps.select(F.col(fp).alias("fp")).distinct()
+    # each row becomes 65, so partitions stay as many as the session asks for instead of being merged by their small size
+    parts = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    node = fps.select(F.col(fp).alias("fp")).distinct().repartition(parts, "fp")
     spread = node.select("fp", F.explode(F.sequence(F.lit(-1), F.lit(BITS - 1))).alias("i"))
     flip = F.when(F.col("i") < 0, F.lit(0).cast("bigint")).otherwise(F.expr("shiftleft(1L, i)"))
     rows = spread.select(F.col("fp").bitwiseXOR(flip).alias("variant"), flip.alias("mask"), (F.col("i") < 0).cast("int").alias("own"))
@@ -91,10 +93,10 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingl
     """
     none = F.lit(-(1 << 63))
     groups = simhash_groups(docs, doc_id, text, shingle)
-    stay = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.coalesce(F.col("doc_id").cast("bigint"), none).alias("_stay"), "fp").groupBy("_stay").agg(F.count("*").alias("_n"))
-    keyed = docs.withColumn("_stay", F.coalesce(F.col(doc_id).cast("bigint"), none))
-    held = keyed.join(stay, "_stay")
+    stay = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.coalesce(F.col("doc_id").cast("bigint"), none).alias("__stay"), "fp").groupBy("__stay").agg(F.count("*").alias("__n"))
+    keyed = docs.withColumn("__stay", F.coalesce(F.col(doc_id).cast("bigint"), none))
+    held = keyed.join(stay, "__stay")
     # almost every id stands once; only repeated ids pass through the window
-    once = held.where("_n = 1").drop("_n", "_stay")
-    again = held.where("_n > 1").withColumn("_r", F.row_number().over(Window.partitionBy("_stay").orderBy(F.col(text).asc_nulls_first(), F.xxhash64(*docs.columns))))
-    return once.unionByName(again.where("_r = 1").drop("_n", "_stay", "_r"))
+    once = held.where("__n = 1").drop("__n", "__stay")
+    again = held.where("__n > 1").withColumn("__r", F.row_number().over(Window.partitionBy("__stay").orderBy(F.col(text).asc_nulls_first(), F.xxhash64(*docs.columns))))
+    return once.unionByName(again.where("__r = 1").drop("__n", "__stay", "__r"))
