@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cytoframe.llm import bpe, mixing, pii, sharding, simhash
-from cytoframe.llm.common import checkpoint, read
+from cytoframe.llm import bpe, mixing, pii, quality, sharding, simhash, telephony
+from cytoframe.llm.common import checkpoint, fold_of, read
 
 
 def ranks_path() -> str:
@@ -23,10 +23,21 @@ def split_pattern() -> str:
     return public_tokenizers.PATTERN
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    model = quality.quality_fit(docs, read(spark, sf_dir, "labels"))
+    scored = quality.quality_scores(docs, model)
+    return scored.select("doc_id", (fold_of("doc_id", 4) == 2).alias("held_out"), "score", (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
+
+
 def op3_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.bpe_digests(read(spark, sf_dir, "documents"), ranks_path(), split_pattern())
 
 
+def op4_telephony(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return telephony.telephony_digests(read(spark, sf_dir, "documents"))
+
+
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     # texts are read once: spans and votes are narrow, and both the fit and the result come from them
@@ -76,7 +87,9 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_quality": op2_quality,
         "op3_bpe_round_trip": op3_bpe_round_trip,
+        "op4_telephony": op4_telephony,
         "op5_pii": op5_pii,
         "op8_extendible_shards": op8_extendible_shards,
         "op9_pivotal_mix": op9_pivotal_mix,
