@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cytoframe.llm import bpe, mixing, pii, quality, sharding, simhash, telephony
+from cytoframe.llm import bpe, fingerprints, mixing, pii, quality, sharding, simhash, telephony
 from cytoframe.llm.common import checkpoint, fold_of, read
 
 
@@ -49,6 +49,10 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return every.select("doc_id", *counts, F.sha2(pii.joined(F.col("base")), 256).alias("base_sha256"), pii.joined(F.concat("base", "added")).alias("spans"), extra)
 
 
+def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.document_fingerprints(read(spark, sf_dir, "documents"))
+
+
 #: Bytes of text in one shard of op8_extendible_shards, at most.
 SHARD_BYTES = 1 << 20
 
@@ -91,6 +95,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_bpe_round_trip": op3_bpe_round_trip,
         "op4_telephony": op4_telephony,
         "op5_pii": op5_pii,
+        "op6_fingerprints": op6_fingerprints,
         "op8_extendible_shards": op8_extendible_shards,
         "op9_pivotal_mix": op9_pivotal_mix,
         "op10_simhash": op10_simhash,
