@@ -4,7 +4,7 @@
 2. near duplicates: one document of each SimHash component stays.
 3. personal data: every span of a text is replaced by its kind.
 4. mixing: each document is repeated as often as its source's target weight asks; documents with no copy go.
-5. tokens: texts become byte-level BPE ids, checked by decoding them again.
+5. tokens: texts become byte-level BPE ids.
 
 All but the last return the columns of documents. Null or empty texts pass the stages as any text does: they are scored,
 count as near duplicates of each other, hold no spans, have size 0 (hence no copy) and would have no ids.
