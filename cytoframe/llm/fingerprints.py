@@ -10,8 +10,8 @@ equal bins among those that either text fills is the likeness, an estimate of th
 
 Levels are computed with numpy across all texts of a run, in as many array operations as there are levels.
 
-Defined results: null counts as empty; a text without symbols has 64 empty bins, and two such texts have likeness 1; a
-text too short for level 2 has its last name as its only signature; repeated ids follow each other by text; a null id
+Defined results: null counts as empty; a text without symbols has 64 empty bins, and two such texts have likeness 1; texts
+below 128 characters use the names of level 1 too; repeated ids follow each other by text; a null id
 stands before all others; a single row is its own next document; an empty table gives an empty result.
 """
 

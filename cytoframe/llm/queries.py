@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cytoframe.llm import bpe, fingerprints, mixing, pii, quality, sharding, simhash, telephony
+from cytoframe.llm import bpe, fingerprints, langid, mixing, pii, quality, sharding, simhash, telephony
 from cytoframe.llm.common import checkpoint, fold_of, read
 
 
@@ -23,6 +23,12 @@ def split_pattern() -> str:
     return public_tokenizers.PATTERN
 
 
+def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    named = langid.languages(docs, langid.language_fit(docs))
+    return named.select("doc_id", (fold_of("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score")
+
+
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     model = quality.quality_fit(docs, read(spark, sf_dir, "labels"))
@@ -91,6 +97,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_language": op1_language,
         "op2_quality": op2_quality,
         "op3_bpe_round_trip": op3_bpe_round_trip,
         "op4_telephony": op4_telephony,
