@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cytoframe.llm import bpe, fingerprints, langid, mixing, pii, quality, sharding, simhash, telephony
+from cytoframe.llm import bpe, fingerprints, langid, mixing, passages, pii, quality, sharding, simhash, telephony
 from cytoframe.llm.common import checkpoint, fold_of, read
 
 
@@ -59,6 +59,10 @@ def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.document_fingerprints(read(spark, sf_dir, "documents"))
 
 
+def op7_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.repeated_passages(read(spark, sf_dir, "documents"))
+
+
 #: Bytes of text in one shard of op8_extendible_shards, at most.
 SHARD_BYTES = 1 << 20
 
@@ -103,6 +107,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_telephony": op4_telephony,
         "op5_pii": op5_pii,
         "op6_fingerprints": op6_fingerprints,
+        "op7_passages": op7_passages,
         "op8_extendible_shards": op8_extendible_shards,
         "op9_pivotal_mix": op9_pivotal_mix,
         "op10_simhash": op10_simhash,
