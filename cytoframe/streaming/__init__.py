@@ -1,0 +1 @@
+"""No streaming operators: none of the supported workloads has event time, windows over streams or keyed state."""
