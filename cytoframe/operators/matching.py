@@ -50,7 +50,7 @@ def resolve_deferred(deferred: DataFrame, exact_counts: DataFrame, accept: float
 
 
 def match_features(reads: DataFrame, features: DataFrame, max_distance: int) -> DataFrame:
-    """(read_id, feature, distance, at): the feature nearest to any substring of the read, if one alone is nearest.
+    """(read_id, feature, distance, place): the feature nearest to any substring of the read, if one alone is nearest.
 
     A read within d mismatches of a feature holds one of d + 1 pieces of it at its place unchanged, so reads and
     features meet by an equi-join on pieces; distances are computed for the pairs that meet only. Features and their
@@ -64,7 +64,7 @@ def match_features(reads: DataFrame, features: DataFrame, max_distance: int) ->
     grams = reads.select("read_id", "read").join(F.broadcast(lengths)).select("read_id", "read", F.explode(substrings(F.col("read"), F.col("len"))).alias("g")).select("read_id", "read", "g.at", F.col("g.part").alias("piece"))
     met = grams.join(pieces, "piece").withColumn("begin", F.col("at") - F.col("off")).where((F.col("begin") >= 1) & (F.col("begin") + F.length("sequence") - 1 <= F.length("read")))
     near = met.select("read_id", "feature", "begin", hamming(F.substring("read", F.col("begin"), F.length("sequence")), F.col("sequence")).alias("distance")).where(F.col("distance") <= d)
-    best = near.groupBy("read_id", "feature").agg(F.min(F.struct("distance", "begin")).alias("b")).select("read_id", "feature", F.col("b.distance").alias("distance"), F.col("b.begin").alias("at"))
+    best = near.groupBy("read_id", "feature").agg(F.min(F.struct("distance", "begin")).alias("b")).select("read_id", "feature", F.col("b.distance").alias("distance"), F.col("b.begin").alias("place"))
     return nearest(best)
 
 
@@ -76,7 +76,7 @@ def nearest(candidates: DataFrame) -> DataFrame:
 
 
 def match_at(reads: DataFrame, features: DataFrame, at: int, max_distance: int, max_n: int = 3) -> DataFrame:
-    """(read_id, feature, distance, at): features compared at one fixed place, exactly first, then with Ns resolved, then by distance."""
+    """(read_id, feature, distance, place): features compared at one fixed place, exactly first, then with Ns resolved, then by distance."""
     lengths = features.select(F.length("sequence").alias("len")).distinct()
     part = reads.select("read_id", "read").join(F.broadcast(lengths)).select("read_id", F.substring("read", F.lit(at), F.col("len")).alias("sequence")).where(F.length("sequence") == F.col("len"))
     exact = part.join(features, "sequence").select("read_id", "feature", F.lit(0).alias("distance"))
@@ -85,8 +85,8 @@ def match_at(reads: DataFrame, features: DataFrame, at: int, max_distance: int,
     only = ns.withColumn("_k", F.count("*").over(Window.partitionBy("read_id"))).where("_k = 1").select("read_id", "feature", F.lit(0).alias("distance"))
     left = rest.join(only.select("read_id"), "read_id", "left_anti")
     close = left.withColumnRenamed("sequence", "read").select("read_id", "read")
-    fuzzy = match_features(close, features, max_distance).where(F.col("at") == 1).select("read_id", "feature", "distance")
-    return exact.unionByName(only).unionByName(fuzzy).withColumn("at", F.lit(at))
+    fuzzy = match_features(close, features, max_distance).where(F.col("place") == 1).select("read_id", "feature", "distance")
+    return exact.unionByName(only).unionByName(fuzzy).withColumn("place", F.lit(at))
 
 
 def match_reads(reads: DataFrame, features: DataFrame, at: int, max_distance: int, max_n: int = 3) -> DataFrame:

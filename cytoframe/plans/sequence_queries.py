@@ -34,9 +34,9 @@ def hamming_distance(spark, d):
 
 
 @query(f"""WITH {FEATURES}, {READS}, p AS (SELECT read_id, feature, i AS p, hamming(substr(read, i, 10), sequence)::INT AS distance FROM reads, feats, range(1, 16) t(i)),
-b AS (SELECT read_id, feature, min(distance) AS distance, arg_min(p, (distance, p))::INT AS at FROM p WHERE distance <= 2 GROUP BY 1, 2),
+b AS (SELECT read_id, feature, min(distance) AS distance, arg_min(p, (distance, p))::INT AS place FROM p WHERE distance <= 2 GROUP BY 1, 2),
 m AS (SELECT *, min(distance) OVER (PARTITION BY read_id) AS m FROM b), k AS (SELECT *, count(*) OVER (PARTITION BY read_id) AS k FROM m WHERE distance = m)
-SELECT read_id, feature, distance, at FROM k WHERE k = 1""")
+SELECT read_id, feature, distance, place FROM k WHERE k = 1""")
 def hamming_pairs(spark, d):
     return matching.match_features(reads(spark, d), feats(spark, d), 2)
 
@@ -44,7 +44,7 @@ def hamming_pairs(spark, d):
 @query(f"""WITH {FEATURES}, {READS}, x AS (SELECT read_id, feature, 0 AS distance FROM reads JOIN feats ON substr(read, 3, 10) = sequence),
 p AS (SELECT read_id, feature, hamming(substr(read, 3, 10), sequence)::INT AS distance FROM reads, feats WHERE read_id NOT IN (SELECT read_id FROM x)),
 m AS (SELECT *, min(distance) OVER (PARTITION BY read_id) AS m FROM p WHERE distance <= 3), k AS (SELECT *, count(*) OVER (PARTITION BY read_id) AS k FROM m WHERE distance = m)
-SELECT read_id, feature, distance, 3 AS at FROM x UNION ALL SELECT read_id, feature, distance, 3 FROM k WHERE k = 1""")
+SELECT read_id, feature, distance, 3 AS place FROM x UNION ALL SELECT read_id, feature, distance, 3 FROM k WHERE k = 1""")
 def match_at_place(spark, d):
     return matching.match_at(reads(spark, d), feats(spark, d), 3, 3)
 
@@ -52,12 +52,12 @@ def match_at_place(spark, d):
 @query(f"""WITH {FEATURES}, {READS}, x AS (SELECT read_id, feature, 0 AS distance FROM reads JOIN feats ON substr(read, 3, 10) = sequence),
 p AS (SELECT read_id, feature, hamming(substr(read, 3, 10), sequence)::INT AS distance FROM reads, feats WHERE read_id NOT IN (SELECT read_id FROM x)),
 m AS (SELECT *, min(distance) OVER (PARTITION BY read_id) AS m FROM p WHERE distance <= 3), k AS (SELECT *, count(*) OVER (PARTITION BY read_id) AS k FROM m WHERE distance = m),
-fx AS (SELECT read_id, feature, distance, 3 AS at, 0 AS rank FROM x UNION ALL SELECT read_id, feature, distance, 3, 0 FROM k WHERE k = 1),
+fx AS (SELECT read_id, feature, distance, 3 AS place, 0 AS rank FROM x UNION ALL SELECT read_id, feature, distance, 3, 0 FROM k WHERE k = 1),
 p2 AS (SELECT read_id, feature, i AS p, hamming(substr(read, i, 10), sequence)::INT AS distance FROM reads, feats, range(1, 16) t(i)),
-b2 AS (SELECT read_id, feature, min(distance) AS distance, arg_min(p, (distance, p))::INT AS at FROM p2 WHERE distance <= 3 GROUP BY 1, 2),
+b2 AS (SELECT read_id, feature, min(distance) AS distance, arg_min(p, (distance, p))::INT AS place FROM p2 WHERE distance <= 3 GROUP BY 1, 2),
 m2 AS (SELECT *, min(distance) OVER (PARTITION BY read_id) AS m FROM b2), k2 AS (SELECT *, count(*) OVER (PARTITION BY read_id) AS k FROM m2 WHERE distance = m),
-u AS (SELECT * FROM fx UNION ALL SELECT read_id, feature, distance, at, 1 FROM k2 WHERE k = 1), r AS (SELECT *, row_number() OVER (PARTITION BY read_id ORDER BY distance, rank) AS r FROM u)
-SELECT read_id, feature, distance, at FROM r WHERE r = 1""")
+u AS (SELECT * FROM fx UNION ALL SELECT read_id, feature, distance, place, 1 FROM k2 WHERE k = 1), r AS (SELECT *, row_number() OVER (PARTITION BY read_id ORDER BY distance, rank) AS r FROM u)
+SELECT read_id, feature, distance, place FROM r WHERE r = 1""")
 def match_reads(spark, d):
     return matching.match_reads(reads(spark, d), feats(spark, d), 3, 3)
 
