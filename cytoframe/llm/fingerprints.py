@@ -215,7 +215,7 @@ def in_order(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", parts:
     rows = docs.select(F.coalesce(F.col(doc_id).cast("bigint"), F.lit(_NONE)).alias("_id"), F.col(text).cast("string").alias("_t"))
     cuts = rows.agg(F.percentile_approx("_id", [i / parts for i in range(1, parts)], 10 * parts)).first()[0] if parts > 1 else None
     splits = [float("-inf"), *sorted({float(c) for c in cuts or ()}), float("inf")]
-    dealt = Bucketizer(splits=splits, inputCol="_d", outputCol="_b").transform(rows.withColumn("_d", F.col("_id").cast("double"))).withColumn("_p", F.col("_b").cast("int")).drop("_b", "_d")
+    dealt = rows.withColumn("_p", F.lit(0)) if len(splits) < 3 else Bucketizer(splits=splits, inputCol="_d", outputCol="_b").transform(rows.withColumn("_d", F.col("_id").cast("double"))).withColumn("_p", F.col("_b").cast("int")).drop("_b", "_d")
     # one row for each range: `parts` at most
     firsts = sorted((r["_p"], r["m"]) for r in dealt.groupBy("_p").agg(F.min("_id").alias("m")).collect())
     if not firsts:

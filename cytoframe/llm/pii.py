@@ -58,20 +58,47 @@ LABELERS = ("shape", "gazetteer", "left", "content")
 ACCEPT = 0.9
 
 
+#: Matches that one fold walks; folds append to arrays, so their cost is quadratic in this and linear in the matches.
+_FOLD = 128
+
+
+def _once(value: Column, use) -> Column:
+    """Evaluate `value` once and hand it to `use`."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def _spans(text: Column, pattern: str, kind: str, check) -> Column:
-    """array<struct<start, stop, m>> of the pattern's leftmost non-overlapping matches; those that fail the check are dropped."""
-    pat = F.lit(pattern)
-    hits = F.regexp_extract_all(text, pat, F.lit(0))
-    gaps = F.slice(F.split(text, pattern, -1), F.lit(1), F.size(hits))
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,stop:int,m:string>>").alias("out"))
-
-    def step(acc, z):
-        start = acc["at"] + F.length(z["gap"])
-        stop = start + F.length(z["hit"])
-        return F.struct(stop.alias("at"), F.concat(acc["out"], F.array(F.struct(start.alias("start"), stop.alias("stop"), z["hit"].alias("m")))).alias("out"))
-
-    pairs = F.zip_with(gaps, hits, lambda g, h: F.struct(g.alias("gap"), h.alias("hit")))
-    found = F.filter(F.aggregate(pairs, zero, step, lambda acc: acc["out"]), lambda s: check(s["m"]))
+    """array<struct<kind, start, stop, m>> of the pattern's leftmost non-overlapping matches; those that fail the check are dropped.
+
+    The text between matches comes from split, the matches from regexp_extract_all; positions are running sums of their
+    lengths, first over blocks of matches, then inside each block.
+    """
+    hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    gaps = F.split(text, pattern, -1)
+    span = "array<struct<start:int,stop:int,m:string>>"
+
+    def walk(block: Column, offset: Column) -> Column:
+        def step(acc, z):
+            start = acc["at"] + F.length(z["gap"])
+            return _once(start, lambda s: F.struct((s + F.length(z["hit"])).alias("at"), F.concat(acc["out"], F.array(F.struct(s.alias("start"), (s + F.length(z["hit"])).alias("stop"), z["hit"].alias("m")))).alias("out")))
+
+        return F.aggregate(block, F.struct(offset.alias("at"), F.array().cast(span).alias("out")), step, lambda acc: acc["out"])
+
+    def of(pairs: Column) -> Column:
+        blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(pairs) - 1) / _FOLD).cast("int")), lambda b: F.slice(pairs, b * _FOLD + 1, F.lit(_FOLD)))
+        return _once(blocks, placed)
+
+    def placed(blocks: Column) -> Column:
+        lengths = F.transform(blocks, lambda b: F.aggregate(b, F.lit(0), lambda n, z: n + F.length(z["gap"]) + F.length(z["hit"])))
+        zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out"))
+        offsets = F.aggregate(lengths, zero, lambda acc, n: F.struct((acc["at"] + n).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out")), lambda acc: acc["out"])
+        return F.flatten(F.zip_with(blocks, offsets, walk))
+
+    def paired(hit: Column) -> Column:
+        pairs = F.zip_with(F.slice(gaps, F.lit(1), F.size(hit)), hit, lambda g, h: F.struct(g.alias("gap"), h.alias("hit")))
+        return F.when(F.size(hit) == 0, F.array().cast(span)).otherwise(_once(pairs, of))
+
+    found = F.filter(_once(hits, paired), lambda s: check(s["m"]))
     return F.transform(found, lambda s: F.struct(F.lit(kind).alias("kind"), s["start"].alias("start"), s["stop"].alias("stop"), s["m"].alias("m")))
 
 
@@ -271,6 +298,5 @@ def redacted_documents(docs: DataFrame, text: str = "text", n_chars: str = "n_ch
 
 def _all_spans(docs: DataFrame, model: SpanModel, text: str) -> Column:
     t = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    once = lambda v, use: F.element_at(F.transform(F.array(v), use), 1)
     bare = lambda spans: F.transform(spans, lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["stop"].alias("stop")))
-    return once(F.struct(bare(base_spans(t)).alias("b"), labelled(t, candidate_spans(t)).alias("c")), lambda x: F.concat(x["b"], accepted(model, x["b"], x["c"])))
+    return _once(F.struct(bare(base_spans(t)).alias("b"), labelled(t, candidate_spans(t)).alias("c")), lambda x: F.concat(x["b"], accepted(model, x["b"], x["c"])))
