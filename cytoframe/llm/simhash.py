@@ -47,9 +47,9 @@ def fingerprint_of(text: str | None, shingle: int = 3) -> int:
 
 
 def simhash_fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 3) -> DataFrame:
-    """(doc_id, fp): the fingerprint of every whole text as a signed 64-bit integer."""
-    out = by_text(docs, F.col(text), [F.col(doc_id)], lambda ts: [pa.array(np.array([fingerprint_of(t, shingle) for t in ts], np.uint64).view(np.int64))], "fp bigint")
-    return out.select(F.col("_k0").alias("doc_id"), "fp")
+    """(doc_id, text_hash, fp): the fingerprint of every whole text as a signed 64-bit integer, with the text's plain hash."""
+    out = by_text(docs, F.col(text), [F.col(doc_id), F.xxhash64(F.col(text).cast("string"))], lambda ts: [pa.array(np.array([fingerprint_of(t, shingle) for t in ts], np.uint64).view(np.int64))], "fp bigint")
+    return out.select(F.col("_k0").alias("doc_id"), F.col("_k1").alias("text_hash"), "fp")
 
 
 def ball_links(fps: DataFrame, fp: str = "fp") -> DataFrame:
@@ -69,15 +69,16 @@ def ball_links(fps: DataFrame, fp: str = "fp") -> DataFrame:
 
 
 def simhash_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 3) -> DataFrame:
-    """(doc_id, fp, component_id) for every row: component_id is the smallest id reachable over links of two bits."""
+    """(doc_id, text_hash, fp, component_id, root) for every row: component_id is the smallest id reachable over links of
+    two bits, root the smallest fingerprint (signed) of the component."""
     fps = checkpoint(simhash_fingerprints(docs, doc_id, text, shingle))
     node = fps.groupBy("fp").agg(F.min("doc_id").alias("least"))
     comp = connected_components(ball_links(fps))
     # fingerprints without a link are components of their own and skip the join over roots
     rooted = node.join(comp.withColumnRenamed("node", "fp"), "fp", "left")
     ids = rooted.where("root is not null").groupBy("root").agg(F.min("least").alias("component_id"))
-    named = rooted.join(ids, "root", "left").select("fp", F.when(F.col("root").isNull(), F.col("least")).otherwise(F.col("component_id")).alias("component_id"))
-    return fps.join(named, "fp").select("doc_id", "fp", "component_id")
+    named = rooted.join(ids, "root", "left").select("fp", F.when(F.col("root").isNull(), F.col("least")).otherwise(F.col("component_id")).alias("component_id"), F.coalesce("root", "fp").alias("root"))
+    return fps.join(named, "fp").select("doc_id", "text_hash", "fp", "component_id", "root")
 
 
 def hex_of(fp: str = "fp"):
@@ -88,15 +89,19 @@ def hex_of(fp: str = "fp"):
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 3) -> DataFrame:
     """The documents without near-duplicates: of each component the row with the smallest id stays, all columns intact.
 
-    Rows that repeat that id shrink to one, the smallest by text; documents with a null id stay only where their
-    whole component has no id, one of them.
+    Rows of the component that repeat that id shrink to one; documents with a null id stay only where their whole
+    component has no id, one of them.
     """
     none = F.lit(-(1 << 63))
+    key = F.coalesce(F.col("doc_id").cast("bigint"), none)
     groups = simhash_groups(docs, doc_id, text, shingle)
-    stay = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.coalesce(F.col("doc_id").cast("bigint"), none).alias("__stay"), "fp").groupBy("__stay").agg(F.count("*").alias("__n"))
-    keyed = docs.withColumn("__stay", F.coalesce(F.col(doc_id).cast("bigint"), none))
-    held = keyed.join(stay, "__stay")
-    # almost every id stands once; only repeated ids pass through the window
-    once = held.where("__n = 1").drop("__n", "__stay")
-    again = held.where("__n > 1").withColumn("__r", F.row_number().over(Window.partitionBy("__stay").orderBy(F.col(text).asc_nulls_first(), F.xxhash64(*docs.columns))))
-    return once.unionByName(again.where("__r = 1").drop("__n", "__stay", "__r"))
+    # of each component one pair of id and text; `__n` tells how many rows repeat that pair
+    first = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("root", key.alias("__stay"), F.col("text_hash").alias("__text")).agg(F.count("*").alias("__n"))
+    stay = first.groupBy("root").agg(F.min(F.struct("__stay", "__text", "__n")).alias("x")).select("x.*")
+    keyed = docs.withColumns({"__stay": F.coalesce(F.col(doc_id).cast("bigint"), none), "__text": F.xxhash64(F.col(text).cast("string"))})
+    held = keyed.join(stay, ["__stay", "__text"])
+    # almost every pair stands once; only repeated ones pass through the window
+    once = held.where("__n = 1").select(*docs.columns)
+    order = Window.partitionBy("__stay", "__text").orderBy(F.xxhash64(*docs.columns))
+    again = held.where("__n > 1").withColumn("__r", F.row_number().over(order)).where("__r = 1").select(*docs.columns)
+    return once.unionByName(again)
