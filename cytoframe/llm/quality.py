@@ -72,7 +72,8 @@ class Scorer:
             return np.full(len(texts), self.w[0])
         if not texts:
             return np.zeros(0)
-        z = np.array([self.features(t) for t in texts]) @ self.w
+        # row by row, so that a score does not depend on the texts beside it
+        z = (np.array([self.features(t) for t in texts]) * self.w).sum(axis=1)
         return 1 / (1 + np.exp(-np.clip(z, -500, 500)))
 
 
