@@ -4,7 +4,7 @@ import hashlib
 from collections import Counter
 
 import pytest
-from conftest import CLASH, edge_rows
+from llm_cases import CLASH, edge_rows
 
 from cytoframe.llm import bpe, fingerprints, langid, mixing, passages, pii, quality, sharding, simhash, telephony
 from cytoframe.llm.queries import ranks_path, split_pattern

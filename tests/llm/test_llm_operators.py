@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 import tiktoken  # noqa: F401
 import xxhash
-from conftest import prose
+from llm_cases import prose
 from hypothesis import given, settings
 from hypothesis import strategies as st
 

@@ -5,8 +5,8 @@ from collections import Counter
 
 import corpus_pipeline
 import pytest
-from conftest import CLASH
-from test_operators import brute_fingerprint, brute_spans, components_of
+from llm_cases import CLASH
+from test_llm_operators import brute_fingerprint, brute_spans, components_of
 
 from cytoframe.llm import bpe, quality, queries
 
