@@ -26,14 +26,14 @@ def split_pattern() -> str:
 def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     named = langid.languages(docs, langid.language_fit(docs))
-    return named.select("doc_id", (fold_of("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score")
+    return named.select("doc_id", F.coalesce(fold_of("doc_id", 3) == 1, F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     model = quality.quality_fit(docs, read(spark, sf_dir, "labels"))
     scored = quality.quality_scores(docs, model)
-    return scored.select("doc_id", (fold_of("doc_id", 4) == 2).alias("held_out"), "score", (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
+    return scored.select("doc_id", F.coalesce(fold_of("doc_id", 4) == 2, F.lit(False)).alias("held_out"), "score", (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
 
 
 def op3_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
