@@ -181,13 +181,11 @@ def sampled_cells(cells: DataFrame, k: int, seed: int = 0) -> DataFrame:
 
 
 def benjamini_hochberg(tests: DataFrame, p: str = "p") -> DataFrame:
-    """Add fdr: p-values adjusted by rank with a running minimum from the largest down.
-
-    Equal p-values share the least adjusted value. The table holds one row for each tested droplet, so one ordered window
-    is used.
-    """
-    order = Window.orderBy(F.col(p).desc_nulls_last())
-    n = tests.agg(F.count(p).alias("_n"))
-    ranked = tests.crossJoin(F.broadcast(n)).withColumn("_r", F.row_number().over(Window.orderBy(F.col(p).asc_nulls_last())))
-    raw = F.least(F.lit(1.0), F.col(p) * F.col("_n") / F.col("_r"))
-    return ranked.withColumn("_raw", F.when(F.col(p).isNotNull(), raw)).withColumn("fdr", F.when(F.col(p).isNotNull(), F.min("_raw").over(order.rangeBetween(Window.unboundedPreceding, Window.currentRow)))).drop("_n", "_r", "_raw")
+    """Add fdr: p-values times their number over their rank, with a running minimum from the largest down; null stays null."""
+    from cytoframe.operators.ranking import global_row_number, running_minimum_from_end
+
+    known = global_row_number(tests.where(F.col(p).isNotNull()), [F.col(p)], "_r")
+    n = known.agg(F.count("*").alias("_n"))
+    raw = known.crossJoin(F.broadcast(n)).withColumn("_raw", F.least(F.lit(1.0), F.col(p) * F.col("_n") / F.col("_r"))).drop("_n")
+    out = running_minimum_from_end(raw, "_r", "_raw", "fdr").select(*tests.columns, "fdr")
+    return out.unionByName(tests.where(F.col(p).isNull()).withColumn("fdr", F.lit(None).cast("double")))

@@ -47,7 +47,7 @@ def lowercase_mismatch(spark, d):
     return features.matched_sequences(rows)
 
 
-@query(with_("x", """, g AS (SELECT gene, row_number() OVER (ORDER BY gene)::INT AS row_idx FROM (SELECT DISTINCT gene FROM x)), c AS (SELECT cell, row_number() OVER (ORDER BY cell)::INT AS col_idx FROM (SELECT DISTINCT cell FROM x))
+@query(with_("x", """, g AS (SELECT gene, row_number() OVER (ORDER BY gene) AS row_idx FROM (SELECT DISTINCT gene FROM x)), c AS (SELECT cell, row_number() OVER (ORDER BY cell) AS col_idx FROM (SELECT DISTINCT cell FROM x))
 SELECT row_idx, col_idx, n FROM x JOIN g USING (gene) JOIN c USING (cell)"""))
 def mtx_export(spark, d):
     return files.mtx_entries(P.x(spark, d))

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cytoframe.operators.ranking import global_row_number
 from cytoframe.sources.matrix import Bundle
 
 
@@ -27,7 +28,7 @@ def write_barcodes(obs: DataFrame, path: str, mask: str | None = None, cell: str
 
 def dense_index(x: DataFrame, key: str) -> DataFrame:
     """(key, idx): 1-based positions of the keys that have entries, in order."""
-    return x.select(key).distinct().withColumn("idx", F.row_number().over(Window.orderBy(key)))
+    return global_row_number(x.select(key).distinct(), [key], "idx")
 
 
 def mtx_entries(counts: DataFrame, row: str = "gene", col: str = "cell", value: str = "n") -> DataFrame:

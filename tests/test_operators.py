@@ -172,3 +172,15 @@ def test_metrics_guard_empty_totals(spark):
     none = spark.createDataFrame([], "cell string, gene int, n bigint")
     row = metrics.removal_metrics(none, none, spark.createDataFrame([], "cell string")).first()
     assert row["found_cells"] == 0 and row["fraction_counts_removed"] is None
+
+
+def test_global_positions_and_minima(spark):
+    from cytoframe.operators.ranking import global_row_number, running_minimum_from_end
+
+    values = random.Random(2).sample(range(10000), 500)
+    df = spark.createDataFrame([(v,) for v in values], "v int").repartition(7)
+    got = global_row_number(df, ["v"], "pos")
+    assert {r["v"]: r["pos"] for r in got.collect()} == {v: i + 1 for i, v in enumerate(sorted(values))}
+    seq = [(i, (i * 7919) % 1009) for i in range(300)]
+    low = running_minimum_from_end(spark.createDataFrame(seq, "pos int, v int"), "pos", "v", "least", block=16)
+    assert {r["pos"]: r["least"] for r in low.collect()} == {i: min(v for _, v in seq[i:]) for i, _ in seq}
