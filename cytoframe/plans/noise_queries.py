@@ -154,7 +154,7 @@ def regularised_quantile(spark, d):
 @query()
 def posterior_from_latents(spark, d):
     x = P.x(spark, d)
-    entries = x.where("n <= 60").select((F.col("cell") * 100000 + F.col("gene")).alias("m"), "n", (F.col("n") * 0.8 + 0.1).alias("mean"), (F.col("n") * 0.2 + 0.1).alias("rate"))
+    entries = x.select((F.col("cell") * 100000 + F.col("gene")).alias("m"), "n", (F.col("n") * 0.8 + 0.1).alias("mean"), (F.col("n") * 0.2 + 0.1).alias("rate"))
     return rounded(noise.posterior_from_latents(entries), "log_prob")
 
 
