@@ -58,6 +58,7 @@ def signal_mean(model: str, epsilon: Column, d_cell: Column, chi: Column, y: Col
 
 def lgamma(x: Column) -> Column:
     """log Gamma for x > 0 by a Stirling series after shifting x above 8, for x up to 1e30."""
+    x = x.cast("double")
     y = x + 8
     inv = 1 / y
     series = (y - 0.5) * F.ln(y) - y + 0.5 * math.log(2 * math.pi) + inv / 12 - F.pow(inv, F.lit(3)) / 360 + F.pow(inv, F.lit(5)) / 1260 - F.pow(inv, F.lit(7)) / 1680
