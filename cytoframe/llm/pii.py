@@ -225,7 +225,8 @@ def fit_cells(cells: list[dict], rounds: int = 50) -> SpanModel:
 
 def count_cells(cands: DataFrame, column: str = "cands") -> list[dict]:
     """Counts of the vote and feature cells over all candidates, 2187 rows at most."""
-    one = cands.select(F.explode(column).alias("c")).select("c.kind", *[F.col(f"c.{f}") for f in FEATURES])
+    # explode() would add a filter on the array's size, which computes the candidates a second time
+    one = cands.select(F.explode_outer(column).alias("c")).where("c is not null").select("c.kind", *[F.col(f"c.{f}") for f in FEATURES])
     return [r.asDict() for r in one.groupBy("kind", *FEATURES).agg(F.count("*").alias("n")).orderBy("kind", *FEATURES).collect()]
 
 
