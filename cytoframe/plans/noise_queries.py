@@ -210,3 +210,16 @@ def count_likelihoods(spark, d):
     mu, lam = n * 0.8 + 0.1, n * 0.1 + 0.05
     out = li.select(F.col("l_orderkey").alias("cell"), F.col("l_linenumber").alias("k"), stats.poisson_log_pmf(n, lam).alias("poisson"), stats.matched_negative_binomial_log_pmf(n, mu, F.lit(2.5), lam).alias("matched"))
     return rounded(out, "poisson", "matched", places=4)
+
+
+@query()
+def regularised_mean(spark, d):
+    target = targets(spark, d).withColumn("target", F.col("target").cast("double"))
+    return noise.map_noise(noise.mean_regularised(P.post(spark, d), P.post_genes(spark, d), target, rounds=16))
+
+
+@query()
+def empty_droplets(spark, d):
+    from cytoframe.operators.empty import empty_droplet_test
+
+    return empty_droplet_test(P.x(spark, d), lower=40, rounds=500)

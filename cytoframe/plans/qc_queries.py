@@ -246,3 +246,18 @@ def set_difference(spark, d):
 def generated_categories(spark, d):
     rows = labels.generated_categories(spark)
     return rows.withColumn("pos", F.coalesce(F.try_to_number(F.substring("name", 3, 20), F.lit("999999999")).cast("bigint"), F.lit(0)))
+
+
+@query("""WITH a AS (SELECT o_orderkey AS cell, 'BC' || (o_orderkey % 60) AS value FROM orders), n AS (SELECT 'BC' || p_partkey AS barcode, p_brand AS sample FROM part WHERE p_partkey < 40)
+SELECT cell, coalesce(sample, value) AS value FROM a LEFT JOIN n ON value = barcode""")
+def sample_names(spark, d):
+    given = P.obs(spark, d).withColumn("value", F.concat(F.lit("BC"), (F.col("cell") % 60).cast("string")))
+    tags = P.table(spark, d, "part").where("p_partkey < 40").select(F.concat(F.lit("BC"), F.col("p_partkey").cast("string")).alias("barcode"), F.col("p_brand").alias("sample"))
+    return labels.sample_names(given, tags)
+
+
+@query("""WITH c AS (SELECT DISTINCT CASE WHEN o_orderkey % 5 = 0 THEN 'doublets' WHEN o_orderkey % 3 = 0 THEN 'filtered' ELSE o_orderpriority END AS category FROM orders)
+SELECT category, (row_number() OVER (ORDER BY CASE category WHEN 'doublets' THEN 3 WHEN 'filtered' THEN 4 ELSE -1 END, category) - 1)::INT AS pos FROM c""")
+def category_order(spark, d):
+    kind = F.when(F.col("o_orderkey") % 5 == 0, "doublets").when(F.col("o_orderkey") % 3 == 0, "filtered").otherwise(F.col("o_orderpriority"))
+    return labels.category_order(P.table(spark, d, "orders").select(kind.alias("category")))

@@ -184,3 +184,20 @@ def test_global_positions_and_minima(spark):
     seq = [(i, (i * 7919) % 1009) for i in range(300)]
     low = running_minimum_from_end(spark.createDataFrame(seq, "pos int, v int"), "pos", "v", "least", block=16)
     assert {r["pos"]: r["least"] for r in low.collect()} == {i: min(v for _, v in seq[i:]) for i, _ in seq}
+
+
+def test_empty_droplets(spark):
+    from cytoframe.operators.empty import empty_droplet_test
+
+    r = random.Random(8)
+    data = []
+    for c in range(300):  # ambient droplets, some of them large
+        total = 20 if c < 250 else 150
+        for _ in range(total):
+            data.append((c, int(30 * r.random() ** 2)))
+    for c in range(300, 320):  # cells express other genes
+        for _ in range(150):
+            data.append((c, 25 + r.randrange(5)))
+    x = spark.createDataFrame(data, "cell int, gene int").groupBy("cell", "gene").agg(F.count("*").alias("n"))
+    got = {row["cell"]: row["non_empty"] for row in empty_droplet_test(x, lower=50, rounds=400).collect()}
+    assert set(got) == set(range(250, 320)) and all(got[c] for c in range(300, 320)) and sum(got[c] for c in range(250, 300)) <= 2
