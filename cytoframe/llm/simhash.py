@@ -55,9 +55,10 @@ def simhash_fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "t
 def ball_links(fps: DataFrame, fp: str = "fp") -> DataFrame:
     """(a, b): links between distinct fingerprints within two bits, a star around the smallest member of each bucket."""
     one = F.lit(1).cast("bigint")
-    # each row becomes 65, so partitions stay as many as the session asks for instead of being merged by their small size
+    # each row becomes 65, so partitions stay as many as the session asks for instead of being merged by their small size;
+    # dealing by the bare fingerprint would be dropped as redundant, and the exchange below it merged
     parts = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    node = fps.select(F.col(fp).alias("fp")).distinct().repartition(parts, "fp")
+    node = fps.select(F.col(fp).alias("fp")).distinct().repartition(parts, F.xxhash64("fp"))
     spread = node.select("fp", F.explode(F.sequence(F.lit(-1), F.lit(BITS - 1))).alias("i"))
     flip = F.when(F.col("i") < 0, F.lit(0).cast("bigint")).otherwise(F.expr("shiftleft(1L, i)"))
     rows = spread.select(F.col("fp").bitwiseXOR(flip).alias("variant"), flip.alias("mask"), (F.col("i") < 0).cast("int").alias("own"))
