@@ -22,6 +22,14 @@ def hamming(a: Column, b: Column) -> Column:
     return F.when(F.length(a) == F.length(b), F.when(F.length(a) == 0, F.lit(0)).otherwise(differ))
 
 
+def hamming_up_to(a: Column, b: Column, longest: int) -> Column:
+    """Hamming distance of sequences of one length, `longest` at most, as a plain sum: compiled, unlike a higher-order function."""
+    total = F.lit(0)
+    for i in range(1, longest + 1):
+        total = total + F.when(F.substring(a, i, 1) != F.substring(b, i, 1), 1).otherwise(0)
+    return total
+
+
 def packed(s: Column) -> Column:
     """Two bits for each base, A 0, C 1, G 2, T 3, of up to 31 bases, as a bigint."""
     code = lambda c: F.when(c == "A", 0).when(c == "C", 1).when(c == "G", 2).otherwise(3).cast("bigint")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cytoframe.functions.sequences import error_probability, expand_n, hamming, neighbours, substrings
+from cytoframe.functions.sequences import error_probability, expand_n, hamming_up_to, neighbours, substrings
 
 #: Candidates that a read may have before it is rejected rather than deferred.
 MOST_CANDIDATES = 3
@@ -57,13 +57,15 @@ def match_features(reads: DataFrame, features: DataFrame, max_distance: int) ->
     pieces are few.
     """
     d = max_distance
-    width = F.ceil(F.length("sequence") / F.lit(d + 1)).cast("int")
-    cut = F.filter(F.sequence(F.lit(0), F.lit(d)), lambda i: i * F.col("w") < F.length("sequence"))
-    pieces = features.withColumn("w", width).select("feature", "sequence", F.explode(F.transform(cut, lambda i: F.struct((i * F.col("w")).alias("off"), F.substring("sequence", i * F.col("w") + 1, F.col("w")).alias("piece")))).alias("p")).select("feature", "sequence", "p.off", "p.piece")
+    # pieces of nearly equal length: piece i covers characters floor(i L / (d + 1)) to floor((i + 1) L / (d + 1))
+    edge = lambda i: F.floor(i * F.length("sequence") / F.lit(d + 1)).cast("int")
+    cut = F.transform(F.sequence(F.lit(0), F.lit(d)), lambda i: F.struct(edge(i).alias("off"), F.substring("sequence", edge(i) + 1, edge(i + 1) - edge(i)).alias("piece")))
+    pieces = features.select("feature", "sequence", F.explode(F.filter(cut, lambda p: p["piece"] != "")).alias("p")).select("feature", "sequence", "p.off", "p.piece")
+    longest = features.agg(F.max(F.length("sequence"))).first()[0] or 0
     lengths = pieces.select(F.length("piece").alias("len")).distinct()
     grams = reads.select("read_id", "read").join(F.broadcast(lengths)).select("read_id", "read", F.explode(substrings(F.col("read"), F.col("len"))).alias("g")).select("read_id", "read", "g.at", F.col("g.part").alias("piece"))
     met = grams.join(pieces, "piece").withColumn("begin", F.col("at") - F.col("off")).where((F.col("begin") >= 1) & (F.col("begin") + F.length("sequence") - 1 <= F.length("read")))
-    near = met.select("read_id", "feature", "begin", hamming(F.substring("read", F.col("begin"), F.length("sequence")), F.col("sequence")).alias("distance")).where(F.col("distance") <= d)
+    near = met.select("read_id", "feature", "begin", hamming_up_to(F.substring("read", F.col("begin"), F.length("sequence")), F.col("sequence"), longest).alias("distance")).where(F.col("distance") <= d)
     best = near.groupBy("read_id", "feature").agg(F.min(F.struct("distance", "begin")).alias("b")).select("read_id", "feature", F.col("b.distance").alias("distance"), F.col("b.begin").alias("place"))
     return nearest(best)
 

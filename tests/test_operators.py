@@ -125,6 +125,7 @@ def test_umi_rules(spark, stringency, want):
     u = spark.createDataFrame(data, "cell string, umi string, feature string, n bigint")
     comps = umis.umi_components(u)
     assert rows(comps, "umi", "root") == [("AAAA", "AAAA"), ("AAAT", "AAAA"), ("AATT", "AAAA"), ("GGGG", "GGGG")]
+    assert rows(umis.umi_components(u, most_edges=1), "umi", "root") == rows(comps, "umi", "root")
     assert rows(umis.deduped_counts(u, comps, stringency), "cell", "feature", "n") == want
 
 
