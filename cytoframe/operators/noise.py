@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cytoframe.operators.components import saved
+
 
 def _with_offsets(est: DataFrame, offsets: DataFrame | None, kind: str = "bigint") -> DataFrame:
     """Add the offset of each entry (0 without one) to its estimate."""
@@ -147,7 +149,7 @@ def mean_regularised(post: DataFrame, genes: DataFrame, targets: DataFrame, per_
         low = F.coalesce("got", F.lit(0)) <= F.col("target")
         bounds = mid.join(got, "gene", "left").select("gene", "target", F.when(low, F.col("beta")).otherwise(F.col("lo")).alias("lo"), F.when(low, F.col("hi")).otherwise(F.col("beta")).alias("hi"))
         if k % 4 == 3:
-            bounds = bounds.checkpoint()
+            bounds = saved(bounds)
     beta = bounds.select("gene", F.col("lo").alias("beta"))
     out = rows.join(beta, "gene").withColumn("log_prob", F.col("log_prob") + F.col("beta") * F.col("c"))
     return normalised(out.select("m", "c", "log_prob"))
