@@ -412,3 +412,31 @@ def test_equal_texts_equal_scores():
     model = quality.fit_texts([prose(i, 60) for i in range(30)], ["#" * i + " $$ " * 20 for i in range(1, 31)], 0.8)
     s = model.scorer()
     assert s.scores(["abc def"])[0] == s.scores(["x", "abc def"])[1]
+
+
+@pytest.mark.parametrize("gap", (31, 60, 100, 200, 300))
+def test_passages_of_one_pair_stand_apart(spark, gap):
+    rng = np.random.default_rng(gap)
+    words = lambda n, tag: [f"{tag}{v}" for v in rng.integers(0, 10**9, n)]
+    head, foot = words(60, "h"), words(60, "f")
+    rows = [(d, " ".join([*words(20, f"s{d}"), *head, *words(gap, f"m{d}"), *foot, *words(20, f"e{d}")])) for d in (1, 2, 3)]
+    got = passages.repeated_passages(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    want = {(d, s, s + 60) for d in (1, 2, 3) for s in (20, 80 + gap)}
+    assert {(r["doc_id"], r["start_word"], r["end_word"]) for r in got} == want
+
+
+@given(st.lists(st.tuples(st.integers(6, 80), st.integers(0, 40)), min_size=1, max_size=6))
+def test_pieces_equal_brute_force(parts):
+    """Blocks of equal words with gaps of unequal ones: every piece from block to block is judged."""
+    a, b, xs, spans = [], [], [], []
+    for n, gap in parts:
+        xs += range(len(a), len(a) + n - passages.K + 1)
+        spans.append((len(a), len(a) + n))
+        a += [f"w{len(a) + i}" for i in range(n)] + ["a"] * gap
+        b += a[len(b) : len(b) + n] + ["b"] * gap
+    good = [(s, e) for s, _ in spans for _, e in spans if e - s >= 50 and sum(w == v for w, v in zip(a[s:e], b[s:e])) >= 0.8 * (e - s)]
+    got = passages.pieces(a, b, xs, xs)
+    # _extend goes on over a short gap, so a piece may hold more than its blocks
+    assert all(any(p[0] <= s and e <= p[1] for p in got) for s, e in good)
+    assert all(p[1] - p[0] >= 50 and p[4] >= 0.8 for p in got)
+    assert all(abs(sum(w == v for w, v in zip(a[p[0] : p[1]], b[p[2] : p[3]])) / (p[1] - p[0]) - p[4]) < 1e-9 for p in got)
