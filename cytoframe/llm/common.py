@@ -6,7 +6,7 @@ import tempfile
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: UTF-8 bytes of text that one Python call turns into numpy arrays at a time.
@@ -39,6 +39,19 @@ def fold_of(doc_id: Column | str, folds: int) -> Column:
     return F.crc32(F.col(doc_id).cast("string") if isinstance(doc_id, str) else doc_id.cast("string")) % folds
 
 
+def least_hashes(rows: DataFrame, counts: dict, sample: int) -> DataFrame:
+    """Of rows (y, h, ...), of which a class y has counts[y], the `sample` with the least hashes in each class.
+
+    What lies far above the sample's share of the hashes goes first, so the window sees little more than the sample.
+    """
+    whole = 1 << 30
+    wide = sample + 8 * sample**0.5 + 16
+    share = F.create_map(*[F.lit(v) for y, n in sorted(counts.items()) for v in (y, min(whole, int(wide / n * whole) + 1))])
+    place = F.pmod("h", F.lit(whole))
+    near = rows.where(place < F.element_at(share, F.col("y")))
+    return near.withColumn("_r", F.row_number().over(Window.partitionBy("y").orderBy(place, "h"))).where(F.col("_r") <= sample).drop("_r")
+
+
 def runs_by_bytes(texts: pa.Array, limit: int = BATCH_BYTES) -> Iterator[tuple[int, list[str]]]:
     """(offset, texts) of consecutive rows with about `limit` bytes together; null becomes the empty text. One row may exceed it."""
     start, held, size = 0, [], 0

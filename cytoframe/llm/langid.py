@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cytoframe.llm.common import by_text, fold_of
+from cytoframe.llm.common import by_text, fold_of, least_hashes
 
 SEGMENT, PAD = 128, 256
 HIDDEN = 8
@@ -201,15 +201,18 @@ def train(texts: list[str], labels: list[str], steps: int = STEPS, hidden: int =
 
 
 def language_fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", folds: int = 3, held: int = 1, sample: int = SAMPLE) -> LanguageModel:
-    """Train on rows outside the held-out fold; about `sample` of each language, chosen by hashes of their ids."""
+    """Train on rows outside the held-out fold: `sample` of each language at most, those with the smallest hashes of id and text.
+
+    Rows that repeat an id and a text count once.
+    """
     known = docs.select(F.col(doc_id).alias("id"), F.col(text).cast("string").alias("t"), F.col(lang).cast("string").alias("y")).where("y is not null and t is not null").where(F.coalesce(fold_of("id", folds), F.lit(0)) != held)
-    counts = {r["y"]: r["n"] for r in known.groupBy("y").agg(F.count("*").alias("n")).collect()}
+    known = known.withColumn("h", F.xxhash64("id", "t"))
+    counts = {r["y"]: r["n"] for r in known.select("y", "h").distinct().groupBy("y").agg(F.count("*").alias("n")).collect()}
     if not counts:
         return LanguageModel([], [])
-    whole = 1 << 30
-    share = F.create_map(*[F.lit(v) for y, n in sorted(counts.items()) for v in (y, min(whole, int(sample / n * whole) + 1))])
+    picked = least_hashes(known.select("y", "h").distinct(), counts, sample)
     place = F.pmod(F.xxhash64("id", F.lit(2)), F.greatest(F.length("t") - EXCERPT, F.lit(1)).cast("bigint")).cast("int") + 1
-    some = known.where(F.pmod(F.xxhash64("id"), F.lit(whole)) < F.element_at(share, F.col("y"))).select("id", "y", F.substring("t", place, F.lit(EXCERPT)).alias("t"))
+    some = known.join(F.broadcast(picked), ["y", "h"]).select("y", "h", F.col("id").cast("string").alias("id"), F.substring("t", place, F.lit(EXCERPT)).alias("t")).dropDuplicates(["y", "h"])
     rows = sorted((str(r["id"]), r["y"], r["t"]) for r in some.collect() if has_letter(r["t"]))
     return train([t for _, _, t in rows], [y for _, y, _ in rows])
 

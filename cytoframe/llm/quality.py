@@ -24,7 +24,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cytoframe.llm.common import by_text, fold_of
+from cytoframe.llm.common import by_text, checkpoint, fold_of, least_hashes
 
 BLOCK = 512
 CLIP = 0.1
@@ -128,18 +128,22 @@ def fit_texts(good: list[str], bad: list[str], share: float) -> QualityModel:
 
 
 def quality_fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "quality", folds: int = 4, held: int = 2, sample: int = SAMPLE) -> QualityModel:
-    """Fit on labelled rows outside the held-out fold: at most `sample` of each class, those with the smallest hashes of their ids."""
+    """Fit on labelled rows outside the held-out fold: at most `sample` of each class, those with the smallest hashes of id and text.
+
+    Rows that repeat an id and a text count once.
+    """
     known = labels.select(F.col(doc_id).alias("id"), F.col(label).cast("int").alias("y")).where("id is not null and y in (0, 1)").where(fold_of("id", folds) != held)
     n, ones = known.agg(F.count("*"), F.sum("y")).first()
     share = ones / n if n else 0.5
-    picked = None
-    for y in (1, 0):
-        top = known.where(F.col("y") == y).distinct().orderBy(F.xxhash64("id"), "id").limit(sample)
-        picked = top if picked is None else picked.unionByName(top)
+    some = docs.select(F.col(doc_id).alias("id"), F.col(text).cast("string").alias("t")).where("t <> ''").withColumn("h", F.xxhash64("id", "t"))
+    each = checkpoint(some.select("id", "h").distinct().join(known.distinct(), "id"))
+    counts = {r["y"]: r["n"] for r in each.groupBy("y").agg(F.count("*").alias("n")).collect()}
+    if not counts:
+        return fit_texts([], [], share)
+    picked = least_hashes(each, counts, sample)
     place = F.pmod(F.xxhash64("id", F.lit(1)), F.greatest(F.length("t") - EXCERPT, F.lit(1)).cast("bigint")).cast("int") + 1
-    some = docs.select(F.col(doc_id).alias("id"), F.col(text).cast("string").alias("t")).where("t <> ''")
-    # bounded: 2 * sample ids
-    rows = some.join(F.broadcast(picked), "id").select("id", "y", F.substring("t", place, F.lit(EXCERPT)).alias("t")).collect()
+    # bounded: 2 * sample rows
+    rows = some.join(F.broadcast(picked), ["id", "h"]).select("y", "h", "id", F.substring("t", place, F.lit(EXCERPT)).alias("t")).dropDuplicates(["y", "id", "h"]).collect()
     rows = sorted(rows, key=lambda r: (str(r["id"]), r["t"]))
     return fit_texts([r["t"] for r in rows if r["y"] == 1], [r["t"] for r in rows if r["y"] == 0], share)
 

@@ -440,3 +440,18 @@ def test_pieces_equal_brute_force(parts):
     assert all(any(p[0] <= s and e <= p[1] for p in got) for s, e in good)
     assert all(p[1] - p[0] >= 50 and p[4] >= 0.8 for p in got)
     assert all(abs(sum(w == v for w, v in zip(a[p[0] : p[1]], b[p[2] : p[3]])) / (p[1] - p[0]) - p[4]) < 1e-9 for p in got)
+
+
+def test_samples_are_bounded_by_rows(spark, monkeypatch):
+    """Null and repeated ids with many texts, and one row many times."""
+    docs = [(None if i % 3 == 0 else 7 if i % 3 == 1 else i, prose(i, 30), "en") for i in range(900)] + [(1, prose(1, 30), "en")] * 300
+    df = spark.createDataFrame(docs, "doc_id bigint, text string, lang string")
+    seen = []
+    monkeypatch.setattr(langid, "train", lambda texts, labels: seen.append(list(texts)))
+    langid.language_fit(df, sample=50, folds=10**6, held=-1)
+    assert len(seen[0]) == 50 == len(set(seen[0]))
+    labels = spark.createDataFrame([(7, 1), *((i, i % 2) for i in range(8, 900))], "doc_id bigint, quality int")
+    monkeypatch.setattr(quality, "fit_texts", lambda good, bad, share: seen.append((list(good), list(bad))))
+    quality.quality_fit(df, labels, sample=50, folds=10**6, held=-1)
+    assert [len(x) for x in seen[1]] == [50, 50]
+    assert sum(prose(i, 30) in seen[1][0] for i in range(1, 900, 3)) < 50
