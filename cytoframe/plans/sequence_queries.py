@@ -68,6 +68,34 @@ def contained_features(spark, d):
     return matching.contained_features(reads(spark, d), short)
 
 
+def all_feats(spark, d, length=10):
+    """Every row of part as a feature; of those with one sequence the least key names it."""
+    keyed = P.table(spark, d, "part").select("p_partkey", P.dna(F.col("p_partkey"), length).alias("sequence"))
+    return keyed.groupBy("sequence").agg(F.min("p_partkey").alias("k")).select(F.concat(F.lit("F"), F.col("k").cast("string")).alias("feature"), "sequence")
+
+
+# The SQL above pairs every read with every feature, so it holds twenty features; over all of part the tests compare with
+# brute force instead.
+@query()
+def hamming_pairs_all(spark, d):
+    return matching.match_features(reads(spark, d), all_feats(spark, d), 2)
+
+
+@query()
+def match_at_place_all(spark, d):
+    return matching.match_at(reads(spark, d), all_feats(spark, d), 3, 3)
+
+
+@query()
+def match_reads_all(spark, d):
+    return matching.match_reads(reads(spark, d), all_feats(spark, d), 3, 3)
+
+
+@query()
+def contained_features_all(spark, d):
+    return matching.contained_features(reads(spark, d), all_feats(spark, d, 4))
+
+
 BAR = f"white AS (SELECT DISTINCT {_sql_dna('p_partkey', 8)} AS barcode FROM part), rb AS (SELECT o_orderkey AS read_id, CASE WHEN o_orderkey % 13 = 0 THEN 'N' || substr({_sql_dna('o_orderkey', 8)}, 2) ELSE {_sql_dna('o_orderkey', 8)} END AS barcode FROM orders)"
 CAND = BAR + """, db AS (SELECT DISTINCT barcode FROM rb), ex AS (SELECT barcode FROM db WHERE barcode IN (SELECT barcode FROM white)),
 hit AS (SELECT db.barcode, w.barcode AS cand FROM db, white w WHERE db.barcode NOT IN (SELECT barcode FROM ex) AND hamming(db.barcode, w.barcode) = 1 AND (NOT contains(db.barcode, 'N') OR substr(db.barcode, 2) = substr(w.barcode, 2))),
