@@ -39,9 +39,9 @@ from pyspark.sql import functions as F
 from cytoframe.llm.common import by_text
 
 #: Characters of a text, and bytes of a match, below which a part is not halved; tokens below which a list is not.
-LEAF, LEAF_BYTES, LEAF_TOKENS = 128, 4, 64
+LEAF, LEAF_BYTES, LEAF_TOKENS = 256, 8, 64
 #: Entries of each memory of a worker, which starts afresh beyond them.
-REMEMBERED = 1 << 18
+REMEMBERED = 1 << 19
 #: More than any rank.
 _NONE = 1 << 62
 _CUT = re.compile(r"\S(?=[ \n])")
@@ -71,9 +71,9 @@ class TreeCodec:
         self.size_of = {v: len(k) for k, v in self.ranks.items()}
         # white space is the Unicode property; the module's own class also holds four control characters
         self.split = regex.compile(pattern.replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}")).findall
-        self._known: dict[str, list[int]] = {}
-        self._pairs: dict[tuple[int, int], bool] = {}
-        self._leaves: dict[bytes, list[int]] = {}
+        self._known: dict[str, tuple[int, ...]] = {}
+        self._pairs: dict[tuple[int, int], tuple[int, ...] | None] = {}
+        self._leaves: dict[bytes, tuple[int, ...]] = {}
 
     @property
     def base(self):
@@ -133,11 +133,12 @@ class TreeCodec:
         assert size == 0, "a safe cut must fall between tokens"
         return k
 
-    def _match(self, m: str) -> list[int]:
+    def _match(self, m: str) -> tuple[int, ...]:
         """The tokens of one match of the pattern; a match that is a token stays whole."""
         data = m.encode("utf-8", "surrogatepass")
         whole = self.ranks.get(data)
-        ids = self._halves(data) if whole is None else [whole]
+        # tuples of numbers are nothing that the garbage collector walks
+        ids = tuple(self._halves(data)) if whole is None else (whole,)
         if len(m) <= 64:
             if len(self._known) >= REMEMBERED:
                 self._known.clear()
@@ -145,23 +146,25 @@ class TreeCodec:
         return ids
 
     def _halves(self, data: bytes) -> list[int]:
-        if len(data) <= LEAF_BYTES:
+        n = len(data)
+        if n <= LEAF_BYTES:
             known = self._leaves.get(data)
             if known is None:
                 if len(self._leaves) >= REMEMBERED:
                     self._leaves.clear()
-                known = self._leaves[data] = self._merged(data)
-            return known[:]
-        mid = len(data) // 2
-        a, b = self._halves(data[:mid]), self._halves(data[mid:])
-        at = 0
-        while at < len(b) and not self._apart(a[-1], b[at]):
+                known = self._leaves[data] = tuple(self._merged(data))
+            return list(known)
+        a, b = self._halves(data[: n // 2]), self._halves(data[n // 2 :])
+        pairs, at = self._pairs, 0
+        for y in b:
+            key = (a[-1], y)
+            new = pairs[key] if key in pairs else self._pair(*key)
+            if new is None:
+                break
             width = 1
-            while True:
-                new = self._merged(b"".join([self.bytes_of[i] for i in a[-width:]]) + self.bytes_of[b[at]])
-                if width >= len(a) or self._apart(a[-width - 1], new[0]):
-                    break
+            while width < len(a) and not self._apart(a[-width - 1], new[0]):
                 width = min(2 * width, len(a))
+                new = self._merged(b"".join([self.bytes_of[i] for i in a[-width:]]) + self.bytes_of[y])
             a[-width:] = new
             at += 1
         a += b[at:] if at else b
@@ -169,12 +172,15 @@ class TreeCodec:
 
     def _apart(self, x: int, y: int) -> bool:
         key = (x, y)
-        known = self._pairs.get(key)
-        if known is None:
-            if len(self._pairs) >= REMEMBERED:
-                self._pairs.clear()
-            known = self._pairs[key] = self._merged(self.bytes_of[x] + self.bytes_of[y]) == [x, y]
-        return known
+        return (self._pairs[key] if key in self._pairs else self._pair(x, y)) is None
+
+    def _pair(self, x: int, y: int) -> tuple[int, ...] | None:
+        """What the joint bytes of two tokens encode to; None where that is the two."""
+        if len(self._pairs) >= REMEMBERED:
+            self._pairs.clear()
+        new = self._merged(self.bytes_of[x] + self.bytes_of[y])
+        new = self._pairs[x, y] = None if new == [x, y] else tuple(new)
+        return new
 
     def _merged(self, data: bytes) -> list[int]:
         """The merge loop over the ranks."""
@@ -201,11 +207,17 @@ class TreeCodec:
         return self.decode(ids[:mid]) + self.decode(ids[mid:])
 
 
+@lru_cache(maxsize=4)
+def codec_of(ranks: str, pattern: str, leaf: int = LEAF) -> TreeCodec:
+    """The codec of a Python worker, which remembers matches from batch to batch."""
+    return TreeCodec(ranks, pattern, leaf)
+
+
 def bpe_tokens(docs: DataFrame, ranks: str, pattern: str, doc_id: str = "doc_id", text: str = "text", leaf: int = LEAF) -> DataFrame:
     """(doc_id, n_tokens, ids): the token ids of every whole text."""
 
     def work(texts: list[str]) -> list[pa.Array]:
-        codec = TreeCodec(ranks, pattern, leaf)
+        codec = codec_of(ranks, pattern, leaf)
         ids = [codec.encode(t) for t in texts]
         return [pa.array([len(x) for x in ids], pa.int64()), pa.array(ids, pa.list_(pa.int32()))]
 
@@ -218,7 +230,7 @@ def bpe_texts(tokens: DataFrame, ranks: str, pattern: str, doc_id: str = "doc_id
     narrow = tokens.select(F.col(doc_id).alias("_k0"), F.col(ids).cast("array<int>").alias("_i"))
 
     def mapped(batches):
-        codec = TreeCodec(ranks, pattern)
+        codec = codec_of(ranks, pattern)
         for b in batches:
             for at in range(0, b.num_rows, 256):
                 part = b.slice(at, 256)
@@ -231,7 +243,7 @@ def bpe_digests(docs: DataFrame, ranks: str, pattern: str, doc_id: str = "doc_id
     """(doc_id, n_tokens, ids_sha256, decoded_sha256) of a full round trip, without moving ids through the JVM."""
 
     def work(texts: list[str]) -> list[pa.Array]:
-        codec = TreeCodec(ranks, pattern, leaf)
+        codec = codec_of(ranks, pattern, leaf)
         n, a, b = [], [], []
         for t in texts:
             ids = codec.encode(t)
