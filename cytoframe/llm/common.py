@@ -34,6 +34,15 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+#: Narrow rows that are broadcast at most.
+SMALL = 1 << 19
+
+
+def if_small(narrow: DataFrame, most: int = SMALL) -> DataFrame:
+    """A table of one or two numbers a row, to be broadcast if it has `most` rows at most, and joined by shuffle beyond that."""
+    return F.broadcast(narrow) if narrow.limit(most + 1).count() <= most else narrow
+
+
 def fold_of(doc_id: Column | str, folds: int) -> Column:
     """crc32 of the id as text, modulo the number of folds."""
     return F.crc32(F.col(doc_id).cast("string") if isinstance(doc_id, str) else doc_id.cast("string")) % folds
