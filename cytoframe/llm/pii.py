@@ -27,6 +27,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cytoframe.llm.common import checkpoint
+
 # Java forms of the base patterns. Quantifiers that can never give a character back are possessive, which keeps the
 # matcher's stack flat on long runs; a match that could only repeat a failed attempt from further right is skipped by a
 # look-behind, which keeps it linear.
@@ -58,7 +60,8 @@ LABELERS = ("shape", "gazetteer", "left", "content")
 ACCEPT = 0.9
 
 
-#: Matches that one fold walks; folds append to arrays, so their cost is quadratic in this and linear in the matches.
+#: Array items that one fold walks; folds append to arrays, so a block costs its square and all blocks together cost no
+#: more than the number of items times this.
 _FOLD = 128
 
 
@@ -67,39 +70,82 @@ def _once(value: Column, use) -> Column:
     return F.element_at(F.transform(F.array(value), use), 1)
 
 
-def _spans(text: Column, pattern: str, kind: str, check) -> Column:
+def _blocks(items: Column, size: int | Column = _FOLD) -> Column:
+    """The items in consecutive runs of `size`; one empty run where there are none."""
+    last = F.greatest(F.floor((F.size(items) - 1) / size), F.lit(0)).cast("int")
+    return F.transform(F.sequence(F.lit(0), last), lambda b: F.slice(items, b * size + 1, size if isinstance(size, Column) else F.lit(size)))
+
+
+def _before(blocks: Column, zero: Column, join, kind: str) -> Column:
+    """For each block the fold of all blocks before it: `join` must not care how the items are bracketed."""
+    totals = F.transform(blocks, lambda b: F.aggregate(b, zero, join))
+    start = F.struct(zero.alias("at"), F.array().cast(f"array<{kind}>").alias("out"))
+    both = lambda acc, n: F.struct(merge(acc["at"], n).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out"))
+    merge = _MERGES[kind]
+    return F.aggregate(totals, start, both, lambda acc: acc["out"])
+
+
+#: Of a place in a text: the code points before it and the last of them, for the left context.
+_PLACE = "struct<n:int,tail:string>"
+
+
+def _walked(p: Column, piece: Column) -> Column:
+    return F.struct((p["n"] + F.length(piece)).alias("n"), F.right(F.concat(p["tail"], piece), F.lit(CONTEXT)).alias("tail"))
+
+
+_MERGES = {
+    "int": lambda x, y: x + y,
+    "bigint": lambda x, y: F.greatest(x, y),
+    _PLACE: lambda x, y: F.struct((x["n"] + y["n"]).alias("n"), F.right(F.concat(x["tail"], y["tail"]), F.lit(CONTEXT)).alias("tail")),
+}
+
+
+def _spans(text: Column, pattern: str, kind: str, check, around: bool = False) -> Column:
     """array<struct<kind, start, stop, m>> of the pattern's leftmost non-overlapping matches; those that fail the check are dropped.
 
     The text between matches comes from split, the matches from regexp_extract_all; positions are running sums of their
-    lengths, first over blocks of matches, then inside each block.
+    lengths, first over blocks of matches, then inside each block. With `around` each span has the CONTEXT code points
+    before it (left) and the one behind it (after), taken from the pieces too, so that nothing walks the text again.
     """
     hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     gaps = F.split(text, pattern, -1)
-    span = "array<struct<start:int,stop:int,m:string>>"
+    span = f"array<struct<start:int,stop:int,m:string{',left:string,after:string' if around else ''}>>"
 
     def walk(block: Column, offset: Column) -> Column:
         def step(acc, z):
             start = acc["at"] + F.length(z["gap"])
             return _once(start, lambda s: F.struct((s + F.length(z["hit"])).alias("at"), F.concat(acc["out"], F.array(F.struct(s.alias("start"), (s + F.length(z["hit"])).alias("stop"), z["hit"].alias("m")))).alias("out")))
 
-        return F.aggregate(block, F.struct(offset.alias("at"), F.array().cast(span).alias("out")), step, lambda acc: acc["out"])
+        def step_around(acc, z):
+            def put(at):
+                stop = at["n"] + F.length(z["hit"])
+                one = F.struct(at["n"].alias("start"), stop.alias("stop"), z["hit"].alias("m"), at["tail"].alias("left"), z["after"].alias("after"))
+                return F.struct(_walked(at, z["hit"]).alias("at"), F.concat(acc["out"], F.array(one)).alias("out"))
+
+            return _once(_walked(acc["at"], z["gap"]), put)
 
-    def of(pairs: Column) -> Column:
-        blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(pairs) - 1) / _FOLD).cast("int")), lambda b: F.slice(pairs, b * _FOLD + 1, F.lit(_FOLD)))
-        return _once(blocks, placed)
+        return F.aggregate(block, F.struct(offset.alias("at"), F.array().cast(span).alias("out")), step_around if around else step, lambda acc: acc["out"])
 
     def placed(blocks: Column) -> Column:
-        lengths = F.transform(blocks, lambda b: F.aggregate(b, F.lit(0), lambda n, z: n + F.length(z["gap"]) + F.length(z["hit"])))
-        zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out"))
-        offsets = F.aggregate(lengths, zero, lambda acc, n: F.struct((acc["at"] + n).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out")), lambda acc: acc["out"])
+        if around:
+            offsets = _before(blocks, F.struct(F.lit(0).alias("n"), F.lit("").alias("tail")), lambda p, z: _walked(_walked(p, z["gap"]), z["hit"]), _PLACE)
+        else:
+            offsets = _before(blocks, F.lit(0), lambda n, z: n + F.length(z["gap"]) + F.length(z["hit"]), "int")
         return F.flatten(F.zip_with(blocks, offsets, walk))
 
     def paired(hit: Column) -> Column:
-        pairs = F.zip_with(F.slice(gaps, F.lit(1), F.size(hit)), hit, lambda g, h: F.struct(g.alias("gap"), h.alias("hit")))
-        return F.when(F.size(hit) == 0, F.array().cast(span)).otherwise(_once(pairs, of))
+        if around:
+            # behind a match stands the next gap, or where that is empty the next match, or nothing
+            behind = F.zip_with(F.slice(gaps, F.lit(2), F.size(hit)), F.slice(hit, F.lit(2), F.size(hit)), lambda g, h: F.substring(F.when(g == "", F.coalesce(h, F.lit(""))).otherwise(g), 1, 1))
+            ends = F.zip_with(hit, behind, lambda h, a: F.struct(h.alias("hit"), a.alias("after")))
+            pairs = F.zip_with(F.slice(gaps, F.lit(1), F.size(hit)), ends, lambda g, e: F.struct(g.alias("gap"), e["hit"].alias("hit"), e["after"].alias("after")))
+        else:
+            pairs = F.zip_with(F.slice(gaps, F.lit(1), F.size(hit)), hit, lambda g, h: F.struct(g.alias("gap"), h.alias("hit")))
+        return F.when(F.size(hit) == 0, F.array().cast(span)).otherwise(_once(pairs, lambda z: _once(_blocks(z), placed)))
 
     found = F.filter(_once(hits, paired), lambda s: check(s["m"]))
-    return F.transform(found, lambda s: F.struct(F.lit(kind).alias("kind"), s["start"].alias("start"), s["stop"].alias("stop"), s["m"].alias("m")))
+    more = ("left", "after") if around else ()
+    return F.transform(found, lambda s: F.struct(F.lit(kind).alias("kind"), s["start"].alias("start"), s["stop"].alias("stop"), s["m"].alias("m"), *[s[c].alias(c) for c in more]))
 
 
 def _digits(m: Column) -> Column:
@@ -118,11 +164,17 @@ CHECKS = {
     "phone": lambda m: F.length(_digits(m)).between(8, 15),
 }
 _PATTERNS = {"email": EMAIL, "ip": IP, "card": CARD, "phone": PHONE}
+_BARE = "array<struct<kind:string,start:int,stop:int>>"
 _SPAN = "array<struct<kind:string,start:int,stop:int,m:string>>"
+_AROUND = "array<struct<kind:string,start:int,stop:int,m:string,left:string,after:string>>"
 
 
-def _none() -> Column:
-    return F.array().cast(_SPAN)
+def _none(kind: str = _SPAN) -> Column:
+    return F.array().cast(kind)
+
+
+def _bare(s: Column) -> Column:
+    return F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["stop"].alias("stop"))
 
 
 def base_spans(text: Column) -> Column:
@@ -133,12 +185,13 @@ def base_spans(text: Column) -> Column:
 
 
 def candidate_spans(text: Column) -> Column:
+    """Candidates in order of kind, then start, each with its surroundings."""
     some = lambda m: F.lit(True)
     mixed = lambda m: m.rlike("[0-9]") & m.rlike("[A-Za-z]")
     return F.concat(
-        F.when(text.rlike("[A-Za-z0-9_+/=-]{20}"), _spans(text, SECRET, "secret", mixed)).otherwise(_none()),
-        F.when(text.rlike("[0-9]{3}[-)]"), _spans(text, NUMBER, "id", some)).otherwise(_none()),
-        F.when(text.rlike("[A-Z][a-z]+\\.? [A-Z][a-z]"), _spans(text, NAME, "name", some)).otherwise(_none()),
+        F.when(text.rlike("[A-Za-z0-9_+/=-]{20}"), _spans(text, SECRET, "secret", mixed, True)).otherwise(_none(_AROUND)),
+        F.when(text.rlike("[0-9]{3}[-)]"), _spans(text, NUMBER, "id", some, True)).otherwise(_none(_AROUND)),
+        F.when(text.rlike("[A-Z][a-z]+\\.? [A-Z][a-z]"), _spans(text, NAME, "name", some, True)).otherwise(_none(_AROUND)),
     )
 
 
@@ -146,13 +199,12 @@ def _vote(yes: Column, no: Column) -> Column:
     return F.when(yes, F.lit(1)).when(no, F.lit(-1)).otherwise(F.lit(0))
 
 
-def labelled(text: Column, spans: Column) -> Column:
+def labelled(spans: Column) -> Column:
     """Candidates with their votes (v0..v3) and features (len, next): array<struct>."""
 
     def one(s: Column) -> Column:
         kind, m = s["kind"], s["m"]
-        left = F.lower(text.substr(F.greatest(s["start"] - (CONTEXT - 1), F.lit(1)), F.least(s["start"], F.lit(CONTEXT))))
-        after = text.substr(s["stop"] + 1, F.lit(1))
+        left, after = F.lower(s["left"]), s["after"]
         by = lambda secret, number, name: F.when(kind == "secret", secret).when(kind == "id", number).otherwise(name)
         shape = by(
             _vote(m.rlike(r"^(?:[0-9a-f]{32,}|[0-9A-F]{32,}|[A-Za-z0-9_+/-]{36,}={0,2}|[A-Z0-9]{20})$"), ~m.rlike("[0-9].*[0-9].*[0-9]")),
@@ -243,21 +295,49 @@ def score(model: SpanModel, c: Column) -> Column:
     return 1 / (1 + F.exp(-odds))
 
 
+def _clear(spans: Column, others: Column) -> Column:
+    """The spans that overlap none of the others, by kind as listed, then start.
+
+    A span overlaps one of those that start before its stop if the largest stop among them lies beyond its start: one
+    running maximum over both sorted together, at equal places a span's stop before another's start.
+    """
+    item = lambda at, tag, s: F.struct(at.alias("at"), F.lit(tag).alias("tag"), s["start"].cast("bigint").alias("from"), s["stop"].cast("bigint").alias("to"), s["kind"].alias("kind"))
+    every = lambda x: F.sort_array(F.concat(F.transform(x["s"], lambda s: item(s["stop"], 0, s)), F.transform(x["o"], lambda s: item(s["start"], 1, s))))
+    reach = lambda most, z: F.when(z["tag"] == 1, F.greatest(most, z["to"])).otherwise(most)
+    kept = "array<struct<rank:int,start:int,stop:int,kind:string>>"
+
+    def walk(block: Column, most: Column) -> Column:
+        def step(acc, z):
+            rank = F.when(z["kind"] == "secret", 0).when(z["kind"] == "id", 1).otherwise(2)
+            one = F.array(F.struct(rank.alias("rank"), z["from"].cast("int").alias("start"), z["to"].cast("int").alias("stop"), z["kind"].alias("kind")))
+            free = (z["tag"] == 0) & (acc["at"] <= z["from"])
+            return F.struct(reach(acc["at"], z).alias("at"), F.when(free, F.concat(acc["out"], one)).otherwise(acc["out"]).alias("out"))
+
+        return F.aggregate(block, F.struct(most.alias("at"), F.array().cast(kept).alias("out")), step, lambda acc: acc["out"])
+
+    zero = F.lit(0).cast("bigint")
+    merged = lambda xs: _once(_blocks(xs), lambda bs: F.flatten(F.zip_with(bs, _before(bs, zero, reach, "bigint"), walk)))
+    clear = lambda x: F.transform(F.sort_array(_once(every(x), merged)), _bare)
+    return _once(F.struct(spans.alias("s"), others.alias("o")), lambda x: F.when((F.size(x["s"]) == 0) | (F.size(x["o"]) == 0), x["s"]).otherwise(clear(x)))
+
+
 def accepted(model: SpanModel, base: Column, cands: Column) -> Column:
     """Added spans: accepted candidates that overlap neither a base span nor an accepted one of an earlier kind."""
-    bare = lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["stop"].alias("stop"))
-    free = F.filter(cands, lambda c: (score(model, c) >= ACCEPT) & ~F.exists(base, lambda b: (b["start"] < c["stop"]) & (c["start"] < b["stop"])))
-    mine = F.transform(free, bare)
-    rank = lambda c: F.when(c["kind"] == "secret", 0).when(c["kind"] == "id", 1).otherwise(2)
-    return F.filter(mine, lambda c: ~F.exists(mine, lambda o: (rank(o) < rank(c)) & (o["start"] < c["stop"]) & (c["start"] < o["stop"])))
+    sure = F.transform(F.filter(cands, lambda c: score(model, c) >= ACCEPT), _bare)
+
+    def of(mine: Column) -> Column:
+        by = lambda *kinds: F.filter(mine, lambda c: c["kind"].isin(*kinds))
+        kept = F.concat(by("secret"), _clear(by("id"), by("secret")), _clear(by("name"), by("secret", "id")))
+        return F.when(F.size(mine) == 0, mine).otherwise(kept)
+
+    return _once(sure, lambda c: _once(_clear(c, base), of))
 
 
 def examined(docs: DataFrame, text: str = "text") -> DataFrame:
     """docs with base (array<struct<kind,start,stop>>) and cands (with votes)."""
     t = F.coalesce(F.col(text).cast("string"), F.lit(""))
     found = docs.withColumns({"__base": base_spans(t), "__cands": candidate_spans(t)})
-    bare = F.transform("__base", lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["stop"].alias("stop")))
-    return found.withColumns({"base": bare, "cands": labelled(t, F.col("__cands"))}).drop("__base", "__cands")
+    return found.withColumns({"base": F.transform("__base", _bare), "cands": labelled(F.col("__cands"))}).drop("__base", "__cands")
 
 
 def joined(spans: Column) -> Column:
@@ -265,17 +345,37 @@ def joined(spans: Column) -> Column:
 
 
 def redact(text: Column, spans: Column) -> Column:
-    """The text with each span replaced by <kind>; overlapping spans merge into the first."""
-    ordered = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["stop"].alias("stop"), s["kind"].alias("kind"))))
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
+    """The text with each span replaced by <kind>; overlapping spans merge into the first.
 
-    def step(acc, s):
-        piece = F.array(text.substr(acc["at"] + 1, s["start"] - acc["at"]), F.concat(F.lit("<"), s["kind"], F.lit(">")))
-        inside = s["start"] < acc["at"]
-        return F.struct(F.greatest(acc["at"], s["stop"]).alias("at"), F.when(inside, acc["out"]).otherwise(F.concat(acc["out"], piece)).alias("out"))
+    Substrings are counted from a string's start, so the text is first cut into as many parts as each has spans (about
+    the square root of their number), then each part into its pieces.
+    """
+    ordered = lambda found: F.sort_array(F.transform(found, lambda s: F.struct(s["start"].cast("bigint").alias("start"), s["stop"].cast("bigint").alias("stop"), s["kind"].alias("kind"))))
+    reach = lambda most, s: F.greatest(most, s["stop"])
+    zero = F.lit(0).cast("bigint")
+    cut = "array<struct<at:bigint,start:bigint,stop:bigint,kind:string>>"
 
-    done = lambda acc: F.concat(F.array_join(acc["out"], ""), text.substr(acc["at"] + 1, F.length(text)))
-    return F.when(F.size(spans) > 0, F.aggregate(ordered, zero, step, done)).otherwise(text)
+    def walk(block: Column, most: Column) -> Column:
+        def step(acc, s):
+            one = F.array(F.struct(acc["at"].alias("at"), s["start"].alias("start"), s["stop"].alias("stop"), s["kind"].alias("kind")))
+            return F.struct(reach(acc["at"], s).alias("at"), F.when(s["start"] < acc["at"], acc["out"]).otherwise(F.concat(acc["out"], one)).alias("out"))
+
+        return F.aggregate(block, F.struct(most.alias("at"), F.array().cast(cut).alias("out")), step, lambda acc: acc["out"])
+
+    def pieces(part: Column) -> Column:
+        def of(x: Column) -> Column:
+            return F.array_join(F.transform(x["part"], lambda s: F.concat(x["text"].substr((s["at"] - x["from"] + 1).cast("int"), (s["start"] - s["at"]).cast("int")), F.lit("<"), s["kind"], F.lit(">"))), "")
+
+        first, last = F.element_at(part, 1)["at"], F.element_at(part, -1)["start"]
+        return _once(F.struct(part.alias("part"), first.alias("from"), text.substr((first + 1).cast("int"), (last - first).cast("int")).alias("text")), of)
+
+    def put(cuts: Column) -> Column:
+        many = F.greatest(F.ceil(F.sqrt(F.size(cuts))), F.lit(16)).cast("int")
+        return F.array_join(F.transform(_blocks(cuts, many), pieces), "")
+
+    cuts = lambda found: _once(ordered(found), lambda xs: _once(_blocks(xs), lambda bs: F.flatten(F.zip_with(bs, _before(bs, zero, reach, "bigint"), walk))))
+    rest = lambda found: text.substr(F.array_max(F.transform(found, lambda s: s["stop"])) + 1, F.length(text))
+    return _once(spans, lambda found: F.when(F.size(found) > 0, F.concat(_once(cuts(found), put), rest(found))).otherwise(text))
 
 
 def pii_fit(docs: DataFrame, text: str = "text") -> SpanModel:
@@ -289,15 +389,16 @@ def pii_spans(docs: DataFrame, model: SpanModel, text: str = "text") -> DataFram
 
 
 def redacted_documents(docs: DataFrame, text: str = "text", n_chars: str = "n_chars") -> DataFrame:
-    """docs with every span of the text replaced by its kind and the character count renewed; null texts stay null."""
-    model = pii_fit(docs, text)
-    narrow = docs.withColumn("__spans", _all_spans(docs, model, text))
-    clean = F.when(F.col(text).isNull(), F.lit(None)).otherwise(redact(F.col(text), F.col("__spans")))
-    out = narrow.withColumn(text, clean).drop("__spans")
-    return out.withColumn(n_chars, F.length(text).cast("bigint")) if n_chars in docs.columns else out
-
+    """docs with every span of the text replaced by its kind and the character count renewed; null texts stay null.
 
-def _all_spans(docs: DataFrame, model: SpanModel, text: str) -> Column:
-    t = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    bare = lambda spans: F.transform(spans, lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["stop"].alias("stop")))
-    return _once(F.struct(bare(base_spans(t)).alias("b"), labelled(t, candidate_spans(t)).alias("c")), lambda x: F.concat(x["b"], accepted(model, x["b"], x["c"])))
+    Patterns run once: rows with their spans and votes go to the checkpoint folder, and both the fit and the redaction
+    read them there. Repeated rows and extra columns of any name pass through.
+    """
+    names = [f"_c{i}" for i in range(len(docs.columns))]
+    narrow = docs.toDF(*names).withColumn("_t", F.col(names[docs.columns.index(text)]).cast("string"))
+    seen = checkpoint(examined(narrow, "_t").drop("_t"))
+    model = fit_cells(count_cells(seen))
+    own = F.col(names[docs.columns.index(text)])
+    clean = seen.withColumn("_clean", redact(own, F.concat("base", accepted(model, F.col("base"), F.col("cands")))))
+    out = lambda c, n: F.col("_clean") if c == text else F.length("_clean").cast("bigint") if c == n_chars else F.col(n)
+    return clean.select(*[out(c, n).alias(c) for c, n in zip(docs.columns, names)])
