@@ -128,10 +128,18 @@ def mix_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sour
 
 
 def mixed_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", **options) -> DataFrame:
-    """The rows of docs, each as often as its copies say, with all columns."""
+    """The rows of docs, each as often as its copies say, with all columns.
+
+    Rows meet their copies by id, source and size, so null ids spread over these too. Rows that agree in all three take
+    the copies in order of a hash of their text, the larger numbers first; equal texts are interchangeable. Extra columns
+    of any name pass through.
+    """
+    names = [f"_c{i}" for i in range(len(docs.columns))]
+    own = {c: F.col(names[docs.columns.index(c)]) for c in (doc_id, text, source)}
+    key = lambda c: F.struct(c.isNull().alias("n"), F.coalesce(c.cast("string"), F.lit("")).alias("v"))
+    numbered = lambda df, i, s, n, order: df.withColumns({"_id": key(i), "_s": key(s), "_n": n}).withColumn("_o", F.row_number().over(Window.partitionBy("_id", "_s", "_n").orderBy(order)))
+    left = numbered(docs.toDF(*names), own[doc_id], own[source], size_in_words(own[text]), F.xxhash64(own[text]))
     copies = mix_copies(docs, doc_id, text, source, **options)
-    none = F.lit("\x00")
-    tag = lambda df, i, s, n: df.withColumn("__id", F.coalesce(F.col(i).cast("string"), none)).withColumn("__o", F.row_number().over(Window.partitionBy("__id").orderBy(F.col(s).asc_nulls_last(), n)))
-    left = tag(docs, doc_id, source, size_in_words(F.col(text)))
-    right = tag(copies, "doc_id", "source", F.col("size")).where("copies > 0").select("__id", "__o", F.col("copies").alias("__c"))
-    return left.join(right, ["__id", "__o"]).withColumn("__i", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("__c")))).select(*docs.columns)
+    right = numbered(copies, F.col("doc_id"), F.col("source"), F.col("size"), F.col("copies").desc()).where("copies > 0").select("_id", "_s", "_n", "_o", "copies")
+    met = left.join(right, ["_id", "_s", "_n", "_o"]).withColumn("_i", F.explode(F.sequence(F.lit(1).cast("bigint"), "copies")))
+    return met.select(*[F.col(n).alias(c) for n, c in zip(names, docs.columns)])
