@@ -5,20 +5,23 @@ tossing turns neighbouring symbols into labels: the lowest bit in which a symbol
 that bit's value. Four rounds leave labels below six in which neighbours still differ; local maxima begin new phrases,
 whose names, hashes of their symbols, are the next level's symbols. A phrase depends on a few symbols to either side
 only, so equal substrings get equal names in their interior, whatever stands before them. Names of level 2 and up are
-the document's signatures; the least in each of 64 bins (one-permutation hashing) make the fingerprint, and the share of
-equal bins among those that either text fills is the likeness, an estimate of the signatures' Jaccard similarity.
+signatures, which unrelated texts hardly share. The least names in each of 64 bins (one-permutation hashing) make the fingerprint, and the share of
+equal bins among those that either text fills is the likeness. Names of level 1, phrases of a few characters that any two
+texts of a language share, have 16 bins of their own; the names above share the other 48, of which a short text fills few.
+One rule holds for texts of every length.
 
 Levels are computed with numpy across all texts of a run, in as many array operations as there are levels.
 
-Defined results: null counts as empty; a text without symbols has 64 empty bins, and two such texts have likeness 1; texts
-below 128 characters use the names of level 1 too; repeated ids follow each other by text; a null id
-stands before all others; a single row is its own next document; an empty table gives an empty result.
+Defined results: null counts as empty; a text without symbols has 64 empty bins, and two such texts have likeness 1; repeated
+ids follow each other by text; a null id stands before all others; a single row is its own next document; an empty table
+gives an empty result.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -27,9 +30,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BINS = 64
-FIRST_LEVEL = 2
-#: Texts of fewer characters also use the names of level 1.
-SHORT = 128
+#: The last bins, which only names of level 1 fill.
+PHRASE_BINS = 16
 EMPTY = "...."
 #: Characters of original text in one run of numpy work.
 RUN_CHARS = 1 << 20
@@ -87,14 +89,18 @@ def _collapse(sym: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 def signatures(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(index of the text, name) arrays, a pair for each level that adds signatures."""
+    """(index of the text, name) arrays, a pair for each level from 2 up."""
+    return islice(levels(texts), 1, None)
+
+
+def levels(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(index of the text, name) arrays, a pair for each level from 1 up."""
     lengths = np.array([len(t) for t in texts], np.int64)
     doc = np.flatnonzero(lengths)
     if not len(doc):
         return
     sym = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), "<u4")
     starts = np.concatenate(([0], np.cumsum(lengths[doc])[:-1]))
-    level = 0
     while len(doc):
         sym, starts = _collapse(sym, starts)
         lab = _labels(sym, starts)
@@ -107,15 +113,10 @@ def signatures(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         size = np.diff(at, append=len(sym))
         offset = np.arange(len(sym)) - np.repeat(at, size)
         name = _mix(np.add.reduceat(_mix(sym.astype(np.uint64)) * _WEIGHTS[offset & 255], at) + size.astype(np.uint64))
-        level += 1
         starts = np.searchsorted(at, starts)
         count = np.diff(starts, append=len(at))
         single = count == 1
-        if level >= FIRST_LEVEL:
-            yield np.repeat(doc, count), name
-        else:
-            few = np.repeat(lengths[doc] < SHORT, count)
-            yield np.repeat(doc, count)[few], name[few]
+        yield np.repeat(doc, count), name
         if single.any():
             keep = np.repeat(~single, count)
             sym, doc, count = name[keep], doc[~single], count[~single]
@@ -128,9 +129,12 @@ def fingerprint_bins(texts: list[str]) -> np.ndarray:
     """(texts, 64) of 16-bit values in int32; -1 marks an empty bin."""
     top = np.uint64(2**64 - 1)
     low = np.full(len(texts) * BINS, top, np.uint64)
-    for doc, name in signatures(texts):
+    upper = BINS - PHRASE_BINS
+    for level, (doc, name) in enumerate(levels(texts), 1):
         h = _mix(name ^ np.uint64(0xA5A5A5A5))
-        np.minimum.at(low, doc * BINS + (h >> np.uint64(58)).astype(np.int64), h << np.uint64(6))
+        first, bins = (upper, PHRASE_BINS) if level == 1 else (0, upper)
+        bin_ = first + ((h >> np.uint64(32)) * np.uint64(bins) >> np.uint64(32)).astype(np.int64)
+        np.minimum.at(low, doc * BINS + bin_, h << np.uint64(32))
     out = (_mix(low) & np.uint64(0xFFFF)).astype(np.int32)
     out[low == top] = -1
     return out.reshape(-1, BINS)
