@@ -18,10 +18,12 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a temporary one where that is unset (tests)."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or a temporary one where that is unset in local mode (tests)."""
     sc = spark.sparkContext
     known = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not known:
+        if sc.master != "local" and not sc.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         known = tempfile.mkdtemp(prefix="cytoframe-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(known)
@@ -67,11 +69,12 @@ def runs_by_bytes(texts: pa.Array, limit: int = BATCH_BYTES) -> Iterator[tuple[i
     for i in range(0, len(texts), 256):
         for t in texts.slice(i, 256).to_pylist():
             t = t or ""
-            if held and size + len(t) > limit:
+            n = len(t) if t.isascii() else len(t.encode("utf-8", "surrogatepass"))
+            if held and size + n > limit:
                 yield start, held
                 start, held, size = start + len(held), [], 0
             held.append(t)
-            size += len(t)
+            size += n
     if held:
         yield start, held
 
