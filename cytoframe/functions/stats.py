@@ -61,7 +61,7 @@ def lgamma(x: Column) -> Column:
     x = x.cast("double")
     y = x + 8
     inv = 1 / y
-    series = (y - 0.5) * F.ln(y) - y + 0.5 * math.log(2 * math.pi) + inv / 12 - F.pow(inv, F.lit(3)) / 360 + F.pow(inv, F.lit(5)) / 1260 - F.pow(inv, F.lit(7)) / 1680
+    series = (y - 0.5) * F.ln(y) - y + 0.5 * math.log(2 * math.pi) + inv / 12 - F.pow(inv, F.lit(3)) / 360 + F.pow(inv, F.lit(5)) / 1260 - F.pow(inv, F.lit(7)) / 1680 + F.pow(inv, F.lit(9)) / 1188
     product = x
     for k in range(1, 8):
         product = product * (x + k)

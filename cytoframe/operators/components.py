@@ -9,10 +9,13 @@ from pyspark.sql import functions as F
 
 
 def saved(df: DataFrame) -> DataFrame:
-    """A reliable copy in the session's checkpoint folder (a temporary one where none is set, as in tests)."""
+    """A reliable copy in the session's checkpoint folder (a temporary one where none is set in local mode, as in tests)."""
     sc = df.sparkSession.sparkContext
     if not sc.getCheckpointDir():
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="cytoframe-"))
+        known = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not known and sc.master != "local" and not sc.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        sc.setCheckpointDir(known or tempfile.mkdtemp(prefix="cytoframe-"))
     return df.checkpoint()
 
 

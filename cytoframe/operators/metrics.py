@@ -176,8 +176,8 @@ def trimmed(x: DataFrame, top_genes: int | None = None, top_cells: int | None =
 
 
 def sampled_cells(cells: DataFrame, k: int, seed: int = 0) -> DataFrame:
-    """k cells by the order of their seeded hashes."""
-    return cells.orderBy(F.xxhash64("cell", F.lit(seed)), "cell").limit(k)
+    """k cells by the order of the md5 of their name and the seed."""
+    return cells.orderBy(F.md5(F.concat_ws(":", F.col("cell").cast("string"), F.lit(str(seed)))), "cell").limit(k)
 
 
 def benjamini_hochberg(tests: DataFrame, p: str = "p") -> DataFrame:

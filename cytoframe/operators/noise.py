@@ -39,8 +39,8 @@ def cdf_noise(post: DataFrame, q: float, offsets: DataFrame | None = None) -> Da
 
 
 def sampled_noise(post: DataFrame, seed: int = 0, offsets: DataFrame | None = None) -> DataFrame:
-    """(m, noise): one draw for each entry by inverse cumulative probability; the draw is a hash of m and the seed."""
-    u = F.pmod(F.xxhash64("m", F.lit(seed)), F.lit(1 << 53)) / float(1 << 53)
+    """(m, noise): one draw for each entry by inverse cumulative probability; the draw is the first 52 bits of the md5 of m and the seed."""
+    u = F.conv(F.substring(F.md5(F.concat_ws(":", F.col("m").cast("string"), F.lit(str(seed)))), 1, 13), 16, 10).cast("double") / float(1 << 52)
     total = Window.partitionBy("m")
     rows = cumulative(post).withColumn("_all", F.max("cdf").over(total))
     return _with_offsets(rows.groupBy("m").agg(F.min(F.when(F.col("cdf") > u * F.col("_all"), F.col("c"))).alias("noise")), offsets)

@@ -139,7 +139,7 @@ def trim_top_genes_cells(spark, d):
     return metrics.trimmed(P.x(spark, d), top_genes=100, top_cells=2000, least_counts=5, rank_from=50)
 
 
-@query()
+@query(with_("obs", " SELECT cell FROM obs ORDER BY md5(cell || ':1'), cell LIMIT 500"))
 def sample_cells(spark, d):
     return metrics.sampled_cells(P.obs(spark, d), 500, seed=1)
 

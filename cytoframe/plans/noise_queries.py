@@ -35,7 +35,8 @@ def noise_cdf(spark, d):
     return noise.cdf_noise(P.post(spark, d), 0.333)
 
 
-@query()
+@query(with_("q post", """, s AS (SELECT m, c, sum(exp(log_prob)) OVER (PARTITION BY m ORDER BY c) AS cdf, sum(exp(log_prob)) OVER (PARTITION BY m) AS total FROM post)
+SELECT m, min(c) FILTER (cdf > ('0x' || md5(m || ':5')[1:13])::BIGINT / 4503599627370496.0 * total)::BIGINT AS noise FROM s GROUP BY 1"""))
 def noise_sample(spark, d):
     return noise.sampled_noise(P.post(spark, d), seed=5)
 
@@ -151,11 +152,14 @@ def regularised_quantile(spark, d):
     return rounded(noise.mean_noise(noise.quantile_regularised(P.post(spark, d), 0.5)), "noise", places=5)
 
 
-@query()
+@query(with_("x", """, e AS (SELECT cell * 100000 + gene AS m, n, n * 0.8::DOUBLE + 0.1::DOUBLE AS mu, n * 0.2::DOUBLE + 0.1::DOUBLE AS lam FROM x),
+o AS (SELECT *, greatest(least(trunc(lam - 10)::INT, (n - 19)::INT), 0) AS off FROM e), g AS (SELECT *, off + c AS k FROM o CROSS JOIN (SELECT range::INT AS c FROM range(0, 20)) WHERE off + c <= n),
+p AS (SELECT m, c, off, k * ln(lam) - lam - lgamma(k + 1) + (n - k) * ln(mu) - mu - lgamma(n - k + 1) AS lp FROM g), t AS (SELECT *, max(lp) OVER (PARTITION BY m) AS top FROM p),
+z AS (SELECT m, c, off, lp - top - ln(sum(exp(lp - top)) OVER (PARTITION BY m)) AS log_prob FROM t) SELECT m, c, off, round(log_prob, 4) + 0.0 AS log_prob FROM z WHERE log_prob >= -10"""))
 def posterior_from_latents(spark, d):
     x = P.x(spark, d)
     entries = x.select((F.col("cell") * 100000 + F.col("gene")).alias("m"), "n", (F.col("n") * 0.8 + 0.1).alias("mean"), (F.col("n") * 0.2 + 0.1).alias("rate"))
-    return rounded(noise.posterior_from_latents(entries), "log_prob")
+    return noise.posterior_from_latents(entries).withColumn("log_prob", F.round("log_prob", 4) + 0.0)
 
 
 @query(with_("q", ", k AS (SELECT DISTINCT m FROM q) SELECT k.m, t.c::INT AS c, coalesce(q.q, -1.0)::DOUBLE AS q FROM k CROSS JOIN range(0, 7) t(c) LEFT JOIN q ON q.m = k.m AND q.c = t.c"))
