@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cytoframe.llm import bpe, fingerprints, langid, mixing, passages, pii, quality, sharding, simhash, telephony
+from cytoframe.llm import bpe, fingerprints, langid, licenses, mixing, passages, phrases, pii, quality, search, sharding, simhash, telephony
 from cytoframe.llm.common import checkpoint, fold_of, read
 
 
@@ -99,6 +99,18 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", simhash.hex_of("fp").alias("fingerprint"), "component_id")
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(read(spark, sf_dir, "documents"))
+
+
+def op12_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_scan(read(spark, sf_dir, "documents"))
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.ranked_search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_language": op1_language,
@@ -111,8 +123,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_extendible_shards": op8_extendible_shards,
         "op9_pivotal_mix": op9_pivotal_mix,
         "op10_simhash": op10_simhash,
+        "op11_collocations": op11_collocations,
+        "op12_licenses": op12_licenses,
+        "op13_ranked_search": op13_ranked_search,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_extendible_shards": OP8_SQL}
+    return {"op8_extendible_shards": OP8_SQL, "op11_collocations": phrases.PHRASE_SQL, "op12_licenses": licenses.license_sql(), "op13_ranked_search": search.SEARCH_SQL}

@@ -7,7 +7,8 @@ from cytoframe.llm import queries
 
 def test_oracle(spark, small):
     con = duckdb.connect()
-    con.sql(f"create view documents as from '{small}/documents.parquet'")
+    for table in ("documents", "benchmark"):
+        con.sql(f"create view {table} as from '{small}/{table}.parquet'")
     for name, sql in queries.oracle_sql().items():
         want = con.sql(sql)
         got = queries.queries()[name](spark, small)
