@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cytoframe.functions.sequences import error_probability, expand_n, hamming_up_to, neighbours, substrings
+from cytoframe.operators import probing
 
 #: Candidates that a read may have before it is rejected rather than deferred.
 MOST_CANDIDATES = 3
@@ -52,9 +53,18 @@ def resolve_deferred(deferred: DataFrame, exact_counts: DataFrame, accept: float
 def match_features(reads: DataFrame, features: DataFrame, max_distance: int) -> DataFrame:
     """(read_id, feature, distance, place): the feature nearest to any substring of the read, if one alone is nearest.
 
+    Features that fit into one table go to the reads, which are not shuffled; more of them are joined by shuffle.
+    """
+    if known := probing.collected(features):
+        return probing.scan_reads(reads, *known, max_distance)
+    return joined_features(reads, features, max_distance)
+
+
+def joined_features(reads: DataFrame, features: DataFrame, max_distance: int) -> DataFrame:
+    """match_features for any number of features.
+
     A read within d mismatches of a feature holds one of d + 1 pieces of it at its place unchanged, so reads and
-    features meet by an equi-join on pieces; distances are computed for the pairs that meet only. Features and their
-    pieces are few.
+    features meet by an equi-join on pieces; distances are computed for the pairs that meet only.
     """
     d = max_distance
     # pieces of nearly equal length: piece i covers characters floor(i L / (d + 1)) to floor((i + 1) L / (d + 1))
@@ -79,6 +89,13 @@ def nearest(candidates: DataFrame) -> DataFrame:
 
 def match_at(reads: DataFrame, features: DataFrame, at: int, max_distance: int, max_n: int = 3) -> DataFrame:
     """(read_id, feature, distance, place): features compared at one fixed place, exactly first, then with Ns resolved, then by distance."""
+    if known := probing.collected(features):
+        return probing.fixed_reads(reads, *known, at, max_distance, max_n)
+    return joined_at(reads, features, at, max_distance, max_n)
+
+
+def joined_at(reads: DataFrame, features: DataFrame, at: int, max_distance: int, max_n: int = 3) -> DataFrame:
+    """match_at for any number of features."""
     lengths = features.select(F.length("sequence").alias("len")).distinct()
     part = reads.select("read_id", "read").join(F.broadcast(lengths)).select("read_id", F.substring("read", F.lit(at), F.col("len")).alias("sequence")).where(F.length("sequence") == F.col("len"))
     exact = part.join(features, "sequence").select("read_id", "feature", F.lit(0).alias("distance"))
@@ -87,14 +104,16 @@ def match_at(reads: DataFrame, features: DataFrame, at: int, max_distance: int,
     only = ns.withColumn("_k", F.count("*").over(Window.partitionBy("read_id"))).where("_k = 1").select("read_id", "feature", F.lit(0).alias("distance"))
     left = rest.join(only.select("read_id"), "read_id", "left_anti")
     close = left.withColumnRenamed("sequence", "read").select("read_id", "read")
-    fuzzy = match_features(close, features, max_distance).where(F.col("place") == 1).select("read_id", "feature", "distance")
+    fuzzy = joined_features(close, features, max_distance).where(F.col("place") == 1).select("read_id", "feature", "distance")
     return exact.unionByName(only).unionByName(fuzzy).withColumn("place", F.lit(at))
 
 
 def match_reads(reads: DataFrame, features: DataFrame, at: int, max_distance: int, max_n: int = 3) -> DataFrame:
     """The fixed place first; a scan of the whole read replaces its result only where strictly closer."""
-    fixed = match_at(reads, features, at, max_distance, max_n)
-    scan = match_features(reads, features, max_distance)
+    if known := probing.collected(features):
+        return probing.fixed_or_scanned_reads(reads, *known, at, max_distance, max_n)
+    fixed = joined_at(reads, features, at, max_distance, max_n)
+    scan = joined_features(reads, features, max_distance)
     rows = fixed.withColumn("rank", F.lit(0)).unionByName(scan.withColumn("rank", F.lit(1)).select(*fixed.columns, "rank"))
     by = Window.partitionBy("read_id").orderBy("distance", "rank")
     return rows.withColumn("_r", F.row_number().over(by)).where("_r = 1").drop("_r", "rank")
@@ -106,7 +125,9 @@ def read_quality(reads: DataFrame, least_length: int, umi: str = "umi", read: st
 
 
 def contained_features(reads: DataFrame, features: DataFrame) -> DataFrame:
-    """(read_id, feature): features that a read holds anywhere, by an equi-join on substrings."""
+    """(read_id, feature): features that a read holds anywhere: by a table in the tasks, or by an equi-join on substrings if they are too many."""
+    if known := probing.collected(features):
+        return probing.contained_in_reads(reads, *known)
     lengths = features.select(F.length("sequence").alias("len")).distinct()
     parts = reads.select("read_id", "read").join(F.broadcast(lengths)).select("read_id", F.explode(substrings(F.col("read"), F.col("len"))).alias("g")).select("read_id", F.col("g.part").alias("sequence"))
     return parts.join(features, "sequence").select("read_id", "feature").distinct()

@@ -15,12 +15,33 @@ def _sql_dna(key: str, length: int, start: int = 1) -> str:
     return f"translate(substr(md5(({key})::VARCHAR), {start}, {length}), '{HEX}', '{DNA}')"
 
 
-FEATURES = f"feats AS (SELECT DISTINCT 'F' || p_partkey AS feature, {_sql_dna('p_partkey', 10)} AS sequence FROM part WHERE p_partkey <= 20)"
 READS = f"reads AS (SELECT event_id AS read_id, {_sql_dna('event_id', 24)} AS read FROM events)"
 
 
-def feats(spark, d):
-    return P.table(spark, d, "part").where("p_partkey <= 20").select(F.concat(F.lit("F"), F.col("p_partkey").cast("string")).alias("feature"), P.dna(F.col("p_partkey"), 10).alias("sequence"))
+def _sql_feats(length: int = 10) -> str:
+    return f"feats AS (SELECT 'F' || min(k) AS feature, sequence FROM (SELECT p_partkey AS k, {_sql_dna('p_partkey', length)} AS sequence FROM part) GROUP BY sequence)"
+
+
+def _sql_near(distance: int, starts: str, name: str = "near") -> str:
+    """Windows of ten letters within the distance of a feature: one of distance + 1 pieces is equal in both."""
+    edges = [i * 10 // (distance + 1) for i in range(distance + 2)]
+    met = " UNION ".join(
+        f"SELECT read_id, p, feature, hamming(w, sequence)::INT AS distance FROM {name}_w JOIN feats ON substr(w, {a + 1}, {b - a}) = substr(sequence, {a + 1}, {b - a}) WHERE hamming(w, sequence) <= {distance}"
+        for a, b in zip(edges, edges[1:])
+    )
+    return f"{name}_w AS (SELECT read_id, i AS p, substr(read, i, 10) AS w FROM reads, {starts} t(i)), {name} AS ({met})"
+
+
+def _sql_alone(source: str) -> str:
+    """The nearest feature of each read at its first place, where it is the only one."""
+    return f"""SELECT read_id, feature, distance, place FROM (SELECT *, count(*) OVER (PARTITION BY read_id) AS k FROM
+(SELECT *, min(distance) OVER (PARTITION BY read_id) AS m FROM (SELECT read_id, feature, min(distance) AS distance, arg_min(p, (distance, p))::INT AS place FROM {source} GROUP BY 1, 2)) WHERE distance = m) WHERE k = 1"""
+
+
+def feats(spark, d, length=10):
+    """Every row of part as a feature; of those with one sequence the least key names it."""
+    keyed = P.table(spark, d, "part").select("p_partkey", P.dna(F.col("p_partkey"), length).alias("sequence"))
+    return keyed.groupBy("sequence").agg(F.min("p_partkey").alias("k")).select(F.concat(F.lit("F"), F.col("k").cast("string")).alias("feature"), "sequence")
 
 
 def reads(spark, d):
@@ -33,67 +54,53 @@ def hamming_distance(spark, d):
     return rows.select("k", sequences.hamming(F.col("a"), F.col("b")).alias("distance"), sequences.packed_hamming(sequences.packed(F.col("a")), sequences.packed(F.col("b"))).alias("packed_distance"))
 
 
-@query(f"""WITH {FEATURES}, {READS}, p AS (SELECT read_id, feature, i AS p, hamming(substr(read, i, 10), sequence)::INT AS distance FROM reads, feats, range(1, 16) t(i)),
-b AS (SELECT read_id, feature, min(distance) AS distance, arg_min(p, (distance, p))::INT AS place FROM p WHERE distance <= 2 GROUP BY 1, 2),
-m AS (SELECT *, min(distance) OVER (PARTITION BY read_id) AS m FROM b), k AS (SELECT *, count(*) OVER (PARTITION BY read_id) AS k FROM m WHERE distance = m)
-SELECT read_id, feature, distance, place FROM k WHERE k = 1""")
+PAIRS = f"WITH {READS}, {_sql_feats()}, {_sql_near(2, 'range(1, 16)')} {_sql_alone('near')}"
+AT_PLACE = f"WITH {READS}, {_sql_feats()}, {_sql_near(3, 'range(3, 4)')} {_sql_alone('near')}"
+ANYWHERE = f"""WITH {READS}, {_sql_feats()}, {_sql_near(3, 'range(3, 4)', 'near')}, {_sql_near(3, 'range(1, 16)', 'far')},
+u AS (SELECT *, 0 AS rank FROM ({_sql_alone('near')}) UNION ALL SELECT *, 1 FROM ({_sql_alone('far')}))
+SELECT read_id, feature, distance, place FROM (SELECT *, row_number() OVER (PARTITION BY read_id ORDER BY distance, rank) AS r FROM u) WHERE r = 1"""
+CONTAINED = f"WITH {READS}, {_sql_feats(4)} SELECT DISTINCT read_id, feature FROM (SELECT read_id, substr(read, i, 4) AS w FROM reads, range(1, 22) t(i)) JOIN feats ON w = sequence"
+
+
+# each under the name that it had before it took all features, too
+@query(PAIRS, name="hamming_pairs_all")
+@query(PAIRS)
 def hamming_pairs(spark, d):
     return matching.match_features(reads(spark, d), feats(spark, d), 2)
 
 
-@query(f"""WITH {FEATURES}, {READS}, x AS (SELECT read_id, feature, 0 AS distance FROM reads JOIN feats ON substr(read, 3, 10) = sequence),
-p AS (SELECT read_id, feature, hamming(substr(read, 3, 10), sequence)::INT AS distance FROM reads, feats WHERE read_id NOT IN (SELECT read_id FROM x)),
-m AS (SELECT *, min(distance) OVER (PARTITION BY read_id) AS m FROM p WHERE distance <= 3), k AS (SELECT *, count(*) OVER (PARTITION BY read_id) AS k FROM m WHERE distance = m)
-SELECT read_id, feature, distance, 3 AS place FROM x UNION ALL SELECT read_id, feature, distance, 3 FROM k WHERE k = 1""")
+@query(AT_PLACE, name="match_at_place_all")
+@query(AT_PLACE)
 def match_at_place(spark, d):
     return matching.match_at(reads(spark, d), feats(spark, d), 3, 3)
 
 
-@query(f"""WITH {FEATURES}, {READS}, x AS (SELECT read_id, feature, 0 AS distance FROM reads JOIN feats ON substr(read, 3, 10) = sequence),
-p AS (SELECT read_id, feature, hamming(substr(read, 3, 10), sequence)::INT AS distance FROM reads, feats WHERE read_id NOT IN (SELECT read_id FROM x)),
-m AS (SELECT *, min(distance) OVER (PARTITION BY read_id) AS m FROM p WHERE distance <= 3), k AS (SELECT *, count(*) OVER (PARTITION BY read_id) AS k FROM m WHERE distance = m),
-fx AS (SELECT read_id, feature, distance, 3 AS place, 0 AS rank FROM x UNION ALL SELECT read_id, feature, distance, 3, 0 FROM k WHERE k = 1),
-p2 AS (SELECT read_id, feature, i AS p, hamming(substr(read, i, 10), sequence)::INT AS distance FROM reads, feats, range(1, 16) t(i)),
-b2 AS (SELECT read_id, feature, min(distance) AS distance, arg_min(p, (distance, p))::INT AS place FROM p2 WHERE distance <= 3 GROUP BY 1, 2),
-m2 AS (SELECT *, min(distance) OVER (PARTITION BY read_id) AS m FROM b2), k2 AS (SELECT *, count(*) OVER (PARTITION BY read_id) AS k FROM m2 WHERE distance = m),
-u AS (SELECT * FROM fx UNION ALL SELECT read_id, feature, distance, place, 1 FROM k2 WHERE k = 1), r AS (SELECT *, row_number() OVER (PARTITION BY read_id ORDER BY distance, rank) AS r FROM u)
-SELECT read_id, feature, distance, place FROM r WHERE r = 1""")
+@query(ANYWHERE, name="match_reads_all")
+@query(ANYWHERE)
 def match_reads(spark, d):
     return matching.match_reads(reads(spark, d), feats(spark, d), 3, 3)
 
 
-@query(f"""WITH {READS}, f AS (SELECT DISTINCT 'F' || p_partkey AS feature, {_sql_dna('p_partkey', 4)} AS sequence FROM part WHERE p_partkey <= 20) SELECT DISTINCT read_id, feature FROM reads JOIN f ON contains(read, sequence)""")
+@query(CONTAINED, name="contained_features_all")
+@query(CONTAINED)
 def contained_features(spark, d):
-    short = P.table(spark, d, "part").where("p_partkey <= 20").select(F.concat(F.lit("F"), F.col("p_partkey").cast("string")).alias("feature"), P.dna(F.col("p_partkey"), 4).alias("sequence"))
-    return matching.contained_features(reads(spark, d), short)
-
-
-def all_feats(spark, d, length=10):
-    """Every row of part as a feature; of those with one sequence the least key names it."""
-    keyed = P.table(spark, d, "part").select("p_partkey", P.dna(F.col("p_partkey"), length).alias("sequence"))
-    return keyed.groupBy("sequence").agg(F.min("p_partkey").alias("k")).select(F.concat(F.lit("F"), F.col("k").cast("string")).alias("feature"), "sequence")
-
-
-# The SQL above pairs every read with every feature, so it holds twenty features; over all of part the tests compare with
-# brute force instead.
-@query()
-def hamming_pairs_all(spark, d):
-    return matching.match_features(reads(spark, d), all_feats(spark, d), 2)
-
-
-@query()
-def match_at_place_all(spark, d):
-    return matching.match_at(reads(spark, d), all_feats(spark, d), 3, 3)
+    return matching.contained_features(reads(spark, d), feats(spark, d, 4))
 
 
-@query()
-def match_reads_all(spark, d):
-    return matching.match_reads(reads(spark, d), all_feats(spark, d), 3, 3)
+@query(f"SELECT '@e' || event_id AS name, {_sql_dna('event_id', 16)} AS r1_seq, {_sql_dna('event_id', 24)} AS r2_seq FROM events")
+def fastq_pairs(spark, d):
+    """The events' reads, written as a pair of FASTQ folders and read again in lock step."""
+    import uuid
 
+    from cytoframe.operators.components import saved
+    from cytoframe.sources.reads import fastq_pairs as read_pairs
 
-@query()
-def contained_features_all(spark, d):
-    return matching.contained_features(reads(spark, d), all_feats(spark, d, 4))
+    key = F.col("event_id")
+    rows = saved(P.table(spark, d, "events").select(F.concat(F.lit("@e"), key.cast("string")).alias("name"), P.dna(key, 16).alias("one"), P.dna(key, 24).alias("two")))
+    home = f"{spark.sparkContext.getCheckpointDir()}/fastq-{uuid.uuid4().hex}"
+    for mate in ("one", "two"):
+        rows.select(F.concat_ws("\n", "name", mate, F.lit("+"), F.repeat(F.lit("I"), F.length(mate))).alias("value")).write.text(f"{home}/{mate}")
+    return read_pairs(spark, f"{home}/one", f"{home}/two").select(F.col("r1_name").alias("name"), "r1_seq", "r2_seq")
 
 
 BAR = f"white AS (SELECT DISTINCT {_sql_dna('p_partkey', 8)} AS barcode FROM part), rb AS (SELECT o_orderkey AS read_id, CASE WHEN o_orderkey % 13 = 0 THEN 'N' || substr({_sql_dna('o_orderkey', 8)}, 2) ELSE {_sql_dna('o_orderkey', 8)} END AS barcode FROM orders)"

@@ -5,24 +5,29 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cytoframe.sources import fastq as source
 from cytoframe.sources.text import numbered_lines
 
 
-def fastq(spark: SparkSession, path: str | list[str]) -> DataFrame:
+def fastq(spark: SparkSession, path: str | list[str], chunk: int = source.CHUNK) -> DataFrame:
     """(file, rec, name, seq, qual): records of four lines; a file with an incomplete record is an error when read."""
-    lines = numbered_lines(spark, path).withColumn("rec", F.floor(F.col("line") / 4)).withColumn("k", (F.col("line") % 4).cast("int"))
-    pick = lambda k: F.max(F.when(F.col("k") == k, F.col("value")))
-    recs = lines.groupBy("file", "rec").agg(F.count("*").alias("n"), pick(0).alias("name"), pick(1).alias("seq"), pick(3).alias("qual"))
-    return recs.select("file", "rec", "name", F.when(F.col("n") == 4, F.col("seq")).otherwise(F.raise_error(F.lit("incomplete FASTQ record"))).alias("seq"), "qual")
-
-
-def fastq_pairs(spark: SparkSession, r1: str | list[str], r2: str | list[str]) -> DataFrame:
-    """(pair, rec, r1_name, r1_seq, r1_qual, r2_seq, r2_qual): R1 and R2 of equal position; names pair by '_R1_' and '_R2_'."""
-    one, two = fastq(spark, r1), fastq(spark, r2)
-    key = lambda mark: F.regexp_replace("file", mark, "_R?_")
-    left = one.select(key("_R1_").alias("pair"), "rec", F.col("name").alias("r1_name"), F.col("seq").alias("r1_seq"), F.col("qual").alias("r1_qual"))
-    right = two.select(key("_R2_").alias("pair"), "rec", F.col("seq").alias("r2_seq"), F.col("qual").alias("r2_qual"))
-    return left.join(right, ["pair", "rec"])
+    return source.read_fastq(spark, [(f, [(f, n)]) for f, n in source.listed(spark, path)], chunk)
+
+
+def fastq_pairs(spark: SparkSession, r1: str | list[str], r2: str | list[str], chunk: int = source.CHUNK) -> DataFrame:
+    """(pair, rec, r1_name, r1_seq, r1_qual, r2_seq, r2_qual): R1 and R2 in lock step; an incomplete record or a file without
+    a record of its pair is an error when read.
+
+    Files pair by their names where those hold '_R1_' and '_R2_', else by their order.
+    """
+    one, two = source.listed(spark, r1), source.listed(spark, r2)
+    named = all("_R1_" in f for f, _ in one) and all("_R2_" in f for f, _ in two)
+    key = (lambda f, mark: "_R?_".join(f.rsplit("/", 1)[-1].rsplit(mark, 1))) if named else None
+    left = {key(f, "_R1_") if key else i: (f, n) for i, (f, n) in enumerate(one)}
+    right = {key(f, "_R2_") if key else i: (f, n) for i, (f, n) in enumerate(two)}
+    if set(left) != set(right) or len(left) != len(one) or len(right) != len(two):
+        raise ValueError("every R1 file needs one R2 file")
+    return source.read_fastq(spark, [(key(f, "_R1_") if key else f, [(f, n), right[k]]) for k, (f, n) in left.items()], chunk)
 
 
 def gtf(spark: SparkSession, path: str) -> DataFrame:
