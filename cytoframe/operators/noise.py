@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cytoframe.operators.components import saved
+from cytoframe.operators.ranking import boundaries, rank_in_groups, with_groups
 
 
 def _with_offsets(est: DataFrame, offsets: DataFrame | None, kind: str = "bigint") -> DataFrame:
@@ -58,7 +59,8 @@ def knapsack_noise(post: DataFrame, genes: DataFrame, targets: DataFrame, offset
 
     A step's cost is the loss of log probability between neighbouring counts, rounded so that floating-point noise does
     not decide between equal ones; those go by entry and count. Genes below their target step up, genes
-    above it down, and settled genes are left out before the windows.
+    above it down, and settled genes are left out before the windows. The cost at which a gene's target is reached is found
+    by summing steps by digits of their cost, so no gene's steps are brought together.
     """
     best = map_noise(post).withColumnRenamed("noise", "map")
     full = _with_offsets(best.withColumnRenamed("map", "noise"), offsets)
@@ -69,8 +71,16 @@ def knapsack_noise(post: DataFrame, genes: DataFrame, targets: DataFrame, offset
     order = Window.partitionBy("m").orderBy("c")
     step = F.when(F.col("gap") > 0, F.col("log_prob") - F.lag("log_prob").over(order)).otherwise(F.col("log_prob") - F.lead("log_prob").over(order))
     costs = ahead.withColumn("delta", F.round(F.abs(step), cost_digits)).where("delta is not null and c <> map")
-    rank = F.row_number().over(Window.partitionBy("gene").orderBy("delta", "m", "c"))
-    steps = costs.withColumn("r", rank).where(F.col("r") <= F.abs("gap")).groupBy("m").agg(F.sum(F.signum("gap").cast("bigint")).alias("steps"))
+    key = F.round(F.col("delta") * 10**cost_digits).cast("bigint")
+    costs = saved(costs.select("gene", "m", "c", "gap", key.alias("key")))
+    quota = open_.select("gene", F.abs("gap").alias("quota"))
+    edge = boundaries(costs, quota, "gene", "key", F.lit(1).cast("bigint"))
+    judged = costs.join(edge.join(quota, "gene"), "gene", "left")
+    sure = judged.where(F.col("edge").isNull() | (F.col("key") < F.col("edge"))).select("m", "gap")
+    # only steps that cost as much as the last one affordable are ranked
+    tied = rank_in_groups(judged.where("key = edge").select("gene", "m", "c", "gap", (F.col("quota") - F.col("before")).alias("left")), "gene", ["m", "c"], "r")
+    taken = sure.unionByName(tied.where(F.col("r") <= F.col("left")).select("m", "gap"))
+    steps = taken.groupBy("m").agg(F.sum(F.signum("gap").cast("bigint")).alias("steps"))
     return full.join(steps, "m", "left").select("m", (F.col("noise") + F.coalesce("steps", F.lit(0))).alias("noise"))
 
 
@@ -133,25 +143,63 @@ def quantile_regularised(post: DataFrame, alpha: float, span: float = 100.0, rou
     return tilted(post, beta)
 
 
-def mean_regularised(post: DataFrame, genes: DataFrame, targets: DataFrame, per_gene: bool = True, span: float = 100.0, rounds: int = 40) -> DataFrame:
+#: Fractional bits of a tilt.
+TILT_BITS = 30
+
+
+def tilt_steps(post: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """((m, c0), (m, key, jump)): the least count of each entry, and the steps of its most probable count as its tilt grows.
+
+    Under the weight exp(beta c) the most probable count runs along the upper hull of log_prob over c, so it is a step function
+    of beta: from a count it goes on to that later one which the steepest line leads to, at minus the line's slope. `key` is
+    that tilt in units of 2**-TILT_BITS.
+    """
+    point = F.struct(F.col("c").cast("bigint").alias("c"), F.col("log_prob").alias("lp"))
+    one = post.groupBy("m").agg(F.array_sort(F.collect_list(point)).alias("e"))
+    # of lines of one slope the longest, so that points on a line give one step
+    lines = F.transform(
+        "e", lambda p, i: F.struct(p["c"].alias("c"), F.array_max(F.transform(F.slice("e", i + 2, F.size("e")), lambda q: F.struct(((q["lp"] - p["lp"]) / (q["c"] - p["c"])).alias("slope"), q["c"].alias("to")))).alias("line"))
+    )
+    none = F.array().cast("array<struct<slope:double,to:bigint,jump:bigint>>")
+    start = F.struct(F.get("lines", F.lit(0))["c"].alias("at"), none.alias("out"))
+
+    def walk(acc, p):
+        step = F.struct(p["line"]["slope"].alias("slope"), p["line"]["to"].alias("to"), (p["line"]["to"] - p["c"]).alias("jump"))
+        go = (p["c"] == acc["at"]) & p["line"].isNotNull()
+        return F.when(go, F.struct(p["line"]["to"].alias("at"), F.concat(acc["out"], F.array(step)).alias("out"))).otherwise(acc)
+
+    hull = one.select("m", lines.alias("lines")).select("m", F.get("lines", F.lit(0))["c"].alias("c0"), F.aggregate("lines", start, walk, lambda acc: acc["out"]).alias("out"))
+    steps = hull.select("m", F.explode("out").alias("s")).select("m", F.round(-F.col("s.slope") * float(1 << TILT_BITS)).cast("bigint").alias("key"), "s.jump")
+    return hull.select("m", "c0"), steps
+
+
+def mean_tilts(post: DataFrame, genes: DataFrame, targets: DataFrame, span: float = 100.0, offsets: DataFrame | None = None) -> DataFrame:
+    """(gene, beta): for each gene a tilt inside [-span, span] under which its most probable counts sum to the target, or to as
+    much below it as steps at one tilt make necessary; genes without an entry have no row."""
+    least, steps = tilt_steps(saved(post.select("m", "c", "log_prob")))
+    base = _with_offsets(least.withColumnRenamed("c0", "noise"), offsets).join(genes, "m").groupBy("gene").agg(F.sum("noise").alias("base"))
+    quota = saved(base.join(targets, "gene").select("gene", (F.floor("target").cast("bigint") - F.col("base")).alias("quota")))
+    rows = saved(steps.join(genes, "m").groupBy("gene", "key").agg(F.sum("jump").alias("jump")))
+    # a negative quota is passed by the first step already
+    edge = boundaries(rows, quota, "gene", "key", F.col("jump"))
+    ends = with_groups(rows, edge.select("gene", "edge"), "gene").where(F.col("key") < F.col("edge")).groupBy("gene").agg(F.max("key").alias("prev"))
+    unit = float(1 << TILT_BITS)
+    # between the last step that is taken and the first that is not
+    middle = F.when(F.col("quota") < 0, -span).when(F.col("edge").isNull(), span).when(F.col("prev").isNull(), F.col("edge") / unit - 1.0).otherwise((F.col("prev") + F.col("edge")) / 2 / unit)
+    return quota.join(edge, "gene", "left").join(ends, "gene", "left").select("gene", F.greatest(F.lit(-span), F.least(F.lit(span), middle)).alias("beta"))
+
+
+def mean_regularised(post: DataFrame, genes: DataFrame, targets: DataFrame, per_gene: bool = True, span: float = 100.0, offsets: DataFrame | None = None) -> DataFrame:
     """One tilt for each gene (or one for all) so that the most probable counts sum to the target.
 
-    Bisection over aggregates of a table with a row for each gene; each round is one pass over the posterior.
+    The tilt comes from the steps of the most probable counts, by sums over digits, so the posterior is read twice whatever
+    the precision.
     """
-    rows = post.join(genes, "m")
-    if not per_gene:
-        rows, targets = rows.withColumn("gene", F.lit(0)), targets.agg(F.sum("target").alias("target")).select(F.lit(0).alias("gene"), "target")
-    bounds = targets.select("gene", "target", F.lit(-span).alias("lo"), F.lit(span).alias("hi"))
-    for k in range(rounds):
-        mid = bounds.select("gene", "target", "lo", "hi", ((F.col("lo") + F.col("hi")) / 2).alias("beta"))
-        best = rows.join(mid.select("gene", "beta"), "gene").groupBy("gene", "m").agg(F.max_by("c", F.struct(F.col("log_prob") + F.col("beta") * F.col("c"), -F.col("c"))).alias("c"))
-        got = best.groupBy("gene").agg(F.sum("c").alias("got"))
-        low = F.coalesce("got", F.lit(0)) <= F.col("target")
-        bounds = mid.join(got, "gene", "left").select("gene", "target", F.when(low, F.col("beta")).otherwise(F.col("lo")).alias("lo"), F.when(low, F.col("hi")).otherwise(F.col("beta")).alias("hi"))
-        if k % 4 == 3:
-            bounds = saved(bounds)
-    beta = bounds.select("gene", F.col("lo").alias("beta"))
-    out = rows.join(beta, "gene").withColumn("log_prob", F.col("log_prob") + F.col("beta") * F.col("c"))
+    one = genes if per_gene else genes.withColumn("gene", F.lit(0))
+    goal = targets if per_gene else targets.agg(F.sum("target").alias("target")).select(F.lit(0).alias("gene"), "target")
+    beta = mean_tilts(post, one, goal, span, offsets)
+    tilt = with_groups(one, beta, "gene").select("m", "beta")
+    out = post.join(tilt, "m").withColumn("log_prob", F.col("log_prob") + F.col("beta") * F.col("c"))
     return normalised(out.select("m", "c", "log_prob"))
 
 

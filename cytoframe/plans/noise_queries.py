@@ -147,7 +147,8 @@ def posterior_tilted(spark, d):
     return noise.tilted(post, beta).withColumn("log_prob", F.round("log_prob", 6) + 0.0)
 
 
-@query()
+@query(with_("q post", """, e AS (SELECT m, sum(exp(log_prob) * c) / sum(exp(log_prob)) AS mean, max(c) AS top FROM post GROUP BY 1), v AS (SELECT m, mean, top, sqrt(sum(exp(log_prob) * (c - mean) * (c - mean)) / sum(exp(log_prob))) AS std FROM post JOIN e USING (m) GROUP BY ALL)
+SELECT m, round(least(mean + 0.5 * std, top), 5) AS noise FROM v"""))
 def regularised_quantile(spark, d):
     return rounded(noise.mean_noise(noise.quantile_regularised(P.post(spark, d), 0.5)), "noise", places=5)
 
@@ -216,10 +217,18 @@ def count_likelihoods(spark, d):
     return rounded(out, "poisson", "matched", places=4)
 
 
-@query()
+@query(with_("q post pg", f""", {MAP}, tg AS (SELECT gene, CASE gene % 3 WHEN 0 THEN h + h // 10 WHEN 1 THEN h - h // 10 ELSE h END AS target FROM (SELECT gene, sum(map) AS h FROM best JOIN pg USING (m) GROUP BY 1)),
+low AS (SELECT DISTINCT j.m, j.c FROM post j JOIN post i ON i.m = j.m AND i.c < j.c JOIN post k ON k.m = j.m AND k.c > j.c WHERE (j.log_prob - i.log_prob) / (j.c - i.c) <= (k.log_prob - i.log_prob) / (k.c - i.c)),
+hull AS (SELECT m, c, log_prob, lag(c) OVER w AS c0, lag(log_prob) OVER w AS lp0 FROM post ANTI JOIN low USING (m, c) WINDOW w AS (PARTITION BY m ORDER BY c)),
+base AS (SELECT gene, sum(c) AS base FROM hull JOIN pg USING (m) WHERE c0 IS NULL GROUP BY 1),
+st AS (SELECT gene, round(-(log_prob - lp0) / (c - c0) * {1 << noise.TILT_BITS})::BIGINT AS key, sum(c - c0) AS jump FROM hull JOIN pg USING (m) WHERE c0 IS NOT NULL GROUP BY 1, 2),
+run AS (SELECT gene, key, lag(key) OVER w AS prev, base + sum(jump) OVER w AS total, target FROM st JOIN base USING (gene) JOIN tg USING (gene) WINDOW w AS (PARTITION BY gene ORDER BY key)),
+edge AS (SELECT gene, min(key) AS edge, arg_min(prev, key) AS prev FROM run WHERE total > target GROUP BY 1),
+tilt AS (SELECT gene, CASE WHEN base > target THEN -100.0 WHEN edge IS NULL THEN 100.0 WHEN prev IS NULL THEN edge / {float(1 << noise.TILT_BITS)} - 1 ELSE (prev + edge) / 2 / {float(1 << noise.TILT_BITS)} END AS beta FROM base JOIN tg USING (gene) LEFT JOIN edge USING (gene))
+SELECT m, arg_max(c, (log_prob + beta * c, -c))::BIGINT AS noise FROM post JOIN pg USING (m) JOIN tilt USING (gene) GROUP BY 1"""))
 def regularised_mean(spark, d):
     target = targets(spark, d).withColumn("target", F.col("target").cast("double"))
-    return noise.map_noise(noise.mean_regularised(P.post(spark, d), P.post_genes(spark, d), target, rounds=16))
+    return noise.map_noise(noise.mean_regularised(P.post(spark, d), P.post_genes(spark, d), target))
 
 
 @query()
