@@ -101,9 +101,9 @@ def sparsified(post: DataFrame, least: float = -10.0) -> DataFrame:
     return post.where(F.col("log_prob") >= least)
 
 
-def normalised(post: DataFrame) -> DataFrame:
+def normalised(post: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """Log probabilities shifted so that those of an entry sum to one (log-sum-exp under a maximum)."""
-    by = Window.partitionBy("m")
+    by = Window.partitionBy(*(keys or ["m"]))
     top = F.max("log_prob").over(by)
     shifted = post.withColumn("_t", top).withColumn("_z", F.sum(F.exp(F.col("log_prob") - F.col("_t"))).over(by))
     return shifted.withColumn("log_prob", F.col("log_prob") - F.col("_t") - F.ln("_z")).drop("_t", "_z")
@@ -203,15 +203,34 @@ def mean_regularised(post: DataFrame, genes: DataFrame, targets: DataFrame, per_
     return normalised(out.select("m", "c", "log_prob"))
 
 
+def log_mean_exp(rows: DataFrame, keys: list[str], value: str, step: float = 256.0) -> DataFrame:
+    """(keys, value): the logarithm of the mean of exp(value) over the rows of each key.
+
+    The state is a sum for each scale exp(step * e), so that partial sums merge in any order, none of them overflows, and the
+    rows of a key are never kept; the few scales of a key are joined under the largest.
+    """
+    scale = F.ceil(F.col(value) / step).cast("bigint")
+    parts = rows.groupBy(*keys, scale.alias("_e")).agg(F.sum(F.exp(F.col(value) - step * scale)).alias("_s"), F.count("*").alias("_n"))
+    one = parts.groupBy(*keys).agg(F.max("_e").alias("_top"), F.collect_list(F.struct("_e", "_s")).alias("_all"), F.sum("_n").alias("_n"))
+    total = F.aggregate("_all", F.lit(0.0), lambda acc, x: acc + x["_s"] * F.exp(step * (x["_e"] - F.col("_top"))))
+    return one.select(*keys, (step * F.col("_top") + F.ln(total) - F.ln("_n")).alias(value))
+
+
 def posterior_from_latents(entries: DataFrame, counts: int = 20, least: float = -10.0) -> DataFrame:
-    """(m, c, log_prob) and offsets from entries (m, n, mean, rate[, shape]) of trained latents.
+    """(m, c, log_prob) and offsets from entries (m, n, mean, rate[, shape][, sample]) of trained latents.
 
-    Counts start at max(0, min(rate - counts / 2, n - counts + 1)); the offset is their start.
+    Counts start at max(0, min(rate - counts / 2, n - counts + 1)); the offset is their start. Where an entry has several samples
+    of its latents, each one's probabilities are normalised and then averaged, and the start comes from their mean rate.
     """
     from cytoframe.functions.stats import noise_log_prob
 
-    first = F.greatest(F.least((F.col("rate") - counts / 2).cast("int"), (F.col("n") - counts + 1).cast("int")), F.lit(0))
-    grid = entries.withColumn("off", first).withColumn("c", F.explode(F.sequence(F.lit(0), F.lit(counts - 1))))
+    several = "sample" in entries.columns
+    rows = entries.repartition("m").withColumn("_rate", F.avg("rate").over(Window.partitionBy("m"))) if several else entries.withColumn("_rate", F.col("rate"))
+    first = F.greatest(F.least((F.col("_rate") - counts / 2).cast("int"), (F.col("n") - counts + 1).cast("int")), F.lit(0))
+    grid = rows.withColumn("off", first).withColumn("c", F.explode(F.sequence(F.lit(0), F.lit(counts - 1))))
     shape = F.col("shape") if "shape" in entries.columns else None
     scored = grid.withColumn("log_prob", noise_log_prob(F.col("c") + F.col("off"), F.col("n"), F.col("mean"), F.col("rate"), shape)).where("log_prob is not null")
-    return sparsified(normalised(scored.select("m", "c", "off", "log_prob")), least)
+    if not several:
+        return sparsified(normalised(scored.select("m", "c", "off", "log_prob")), least)
+    each = normalised(scored.select("m", "sample", "c", "off", "log_prob"), ["m", "sample"])
+    return sparsified(log_mean_exp(each, ["m", "c", "off"], "log_prob"), least)

@@ -177,6 +177,14 @@ def embedding_pca(spark, d):
     return metrics.principal_components(P.table(spark, d, "embeddings"), "embedding").select("vec_id", F.transform("pca", lambda v: F.round(F.abs(v), 6)).alias("pca"))
 
 
+@query()
+def spectral_labels(spark, d):
+    """Clusters of all embeddings, as many as there are labels."""
+    from cytoframe.operators.clustering import spectral_clusters
+
+    return spectral_clusters(P.table(spark, d, "embeddings"), "vec_id", "embedding", 10)
+
+
 UMI_SQL = """, k AS (SELECT DISTINCT cell, umi FROM umis), e AS (SELECT a.cell, a.umi AS u, b.umi AS v FROM k a JOIN k b ON a.cell = b.cell AND hamming(a.umi, b.umi) = 1),
 reach AS (SELECT cell, umi AS u, umi AS v FROM k UNION SELECT r.cell, r.u, e.v FROM reach r JOIN e ON e.cell = r.cell AND e.u = r.v),
 comp AS (SELECT cell, u AS umi, min(v) AS root FROM reach GROUP BY 1, 2)"""

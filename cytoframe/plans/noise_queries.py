@@ -163,6 +163,18 @@ def posterior_from_latents(spark, d):
     return noise.posterior_from_latents(entries).withColumn("log_prob", F.round("log_prob", 4) + 0.0)
 
 
+@query(with_("x", """, e AS (SELECT cell * 100000 + gene AS m, s, n, n * (0.9 - 0.1 * s)::DOUBLE + 0.1::DOUBLE AS mu, n * (0.1 + 0.1 * s)::DOUBLE + 0.1::DOUBLE AS lam FROM x CROSS JOIN range(0, 3) t(s)),
+f AS (SELECT *, avg(lam) OVER (PARTITION BY m) AS rate FROM e), o AS (SELECT *, greatest(least(trunc(rate - 5)::INT, (n - 9)::INT), 0) AS off FROM f), g AS (SELECT *, off + c AS k FROM o CROSS JOIN (SELECT range::INT AS c FROM range(0, 10)) WHERE off + c <= n),
+p AS (SELECT m, s, c, off, k * ln(lam) - lam - lgamma(k + 1) + (n - k) * ln(mu) - mu - lgamma(n - k + 1) AS lp FROM g), t AS (SELECT *, max(lp) OVER (PARTITION BY m, s) AS top FROM p),
+z AS (SELECT m, c, off, exp(lp - top) / sum(exp(lp - top)) OVER (PARTITION BY m, s) AS pr FROM t), a AS (SELECT m, c, off, ln(avg(pr)) AS log_prob FROM z GROUP BY 1, 2, 3)
+SELECT m, c, off, round(log_prob, 4) + 0.0 AS log_prob FROM a WHERE log_prob >= -10"""))
+def posterior_from_samples(spark, d):
+    s, n = F.col("sample"), F.col("n")
+    x = P.x(spark, d).withColumn("sample", F.explode(F.array(*[F.lit(i) for i in range(3)])))
+    entries = x.select((F.col("cell") * 100000 + F.col("gene")).alias("m"), "sample", "n", (n * (F.lit(0.9) - F.lit(0.1) * s) + 0.1).alias("mean"), (n * (F.lit(0.1) + F.lit(0.1) * s) + 0.1).alias("rate"))
+    return noise.posterior_from_latents(entries, counts=10).withColumn("log_prob", F.round("log_prob", 4) + 0.0)
+
+
 @query(with_("q", ", k AS (SELECT DISTINCT m FROM q) SELECT k.m, t.c::INT AS c, coalesce(q.q, -1.0)::DOUBLE AS q FROM k CROSS JOIN range(0, 7) t(c) LEFT JOIN q ON q.m = k.m AND q.c = t.c"))
 def dense_fill(spark, d):
     from cytoframe.operators.layers import dense_fill as fill
