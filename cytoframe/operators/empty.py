@@ -1,7 +1,12 @@
-"""Droplets that hold a cell: multinomial likelihood under the ambient profile, Monte Carlo p-values, adjusted for their number."""
+"""Droplets that hold a cell: likelihood under the ambient profile, Monte Carlo p-values, adjusted for their number.
+
+The ambient profile is smoothed by simple Good-Turing estimation, so a gene that no ambient droplet shows keeps a share, and
+ambient droplets spread around it by a Dirichlet-multinomial whose concentration has the greatest likelihood.
+"""
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -10,58 +15,136 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cytoframe.functions.stats import lgamma
+from cytoframe.operators.components import saved
 from cytoframe.operators.metrics import benjamini_hochberg
 
 
-def ambient_shares(x: DataFrame, lower: int, pseudo: float = 0.5) -> DataFrame:
-    """(gene, p): counts of droplets of at most `lower` counts, every gene of x with a pseudo-count, normalised to one."""
+def good_turing(count_of: dict[int, int], confidence: float = 1.96) -> tuple[float, dict[int, float]]:
+    """(probability of all unseen kinds, probability of one kind seen r times for each r) from the number of kinds by times seen.
+
+    Simple Good-Turing: Turing's estimates as long as they differ from those of a line through log frequencies, then the line's.
+    """
+    if not count_of:
+        return 1.0, {}
+    rs = np.array(sorted(count_of), float)
+    ns = np.array([count_of[int(r)] for r in rs], float)
+    total = float((rs * ns).sum())
+    unseen = count_of.get(1, 0) / total
+    if len(rs) < 2:
+        return unseen if unseen < 1 else 0.5, {int(r): (1 - unseen if unseen < 1 else 0.5) * r / total for r in rs}
+    gaps = np.append(rs[1:], 2 * rs[-1] - rs[-2]) - np.append(0.0, rs[:-1])
+    slope, level = np.polyfit(np.log(rs), np.log(2 * ns / gaps), 1)
+    smooth = lambda r: np.exp(level + slope * np.log(r))
+    line = (rs + 1) * smooth(rs + 1) / smooth(rs)
+    out, turing = np.empty(len(rs)), True
+    for i, (r, n) in enumerate(zip(rs, ns)):
+        after = count_of.get(int(r) + 1, 0)
+        x = (r + 1) * after / n
+        turing = turing and after > 0 and abs(x - line[i]) > confidence * math.sqrt((r + 1) ** 2 * after / n**2 * (1 + after / n))
+        out[i] = x if turing else line[i]
+    seen = float((out * ns).sum())
+    return unseen, {int(r): float((1 - unseen) * o / seen) for r, o in zip(rs, out)}
+
+
+def ambient_counts(x: DataFrame, lower: int) -> DataFrame:
+    """(cell, gene, n) of the droplets of at most `lower` counts."""
     low = x.groupBy("cell").agg(F.sum("n").alias("t")).where(F.col("t") <= lower).select("cell")
-    seen = x.join(low, "cell", "left_semi").groupBy("gene").agg(F.sum("n").alias("s"))
-    every = x.select("gene").distinct().join(seen, "gene", "left").select("gene", (F.coalesce("s", F.lit(0)) + pseudo).alias("w"))
-    return every.crossJoin(F.broadcast(every.agg(F.sum("w").alias("z")))).select("gene", (F.col("w") / F.col("z")).alias("p"))
+    return x.join(low, "cell", "left_semi").select("cell", "gene", "n")
+
+
+def ambient_shares(x: DataFrame, lower: int) -> DataFrame:
+    """(gene, p): smoothed shares of all genes of x in droplets of at most `lower` counts; they sum to one."""
+    seen = ambient_counts(x, lower).groupBy("gene").agg(F.sum("n").alias("s"))
+    every = saved(x.select("gene").distinct().join(seen, "gene", "left").select("gene", F.coalesce("s", F.lit(0)).cast("bigint").alias("r")))
+    # bounded: distinct totals are no more than the root of twice the sum of all counts
+    kinds = {r["r"]: r["k"] for r in every.groupBy("r").agg(F.count("*").alias("k")).collect()}
+    missing = kinds.pop(0, 0)
+    unseen, shares = good_turing(kinds)
+    if missing:
+        # what is left for the unseen is dealt to them evenly; without a kind seen once there is nothing to deal but a least share
+        unseen = unseen or 0.5 / max(1, sum(r * k for r, k in kinds.items()))
+    else:
+        unseen = 0.0
+    known = sum(shares[r] * k for r, k in kinds.items()) or 1.0
+    rows = [(r, (1 - unseen) * p / known if missing else p / known) for r, p in shares.items()] + ([(0, unseen / missing)] if missing else [])
+    table = x.sparkSession.createDataFrame(rows or [(0, 1.0)], "r bigint, p double")
+    return every.join(F.broadcast(table), "r").select("gene", "p")
+
+
+def concentration(x: DataFrame, shares: DataFrame, lower: int, lo: float = 1e-2, hi: float = 1e8, points: int = 24, rounds: int = 6) -> float:
+    """The Dirichlet-multinomial concentration of the greatest likelihood of the droplets of at most `lower` counts.
+
+    The likelihood needs how many droplets have a total and how many entries have a share and a count, both small tables;
+    each round is one aggregate over them for a row of candidates.
+    """
+    ambient = saved(ambient_counts(x, lower))
+    totals = saved(ambient.groupBy("cell").agg(F.sum("n").cast("double").alias("t")).groupBy("t").agg(F.count("*").alias("k")))
+    entries = saved(ambient.join(shares, "gene").groupBy("p", F.col("n").cast("double").alias("n")).agg(F.count("*").alias("k")))
+    if not totals.limit(1).count():
+        return hi
+    a, b = math.log(lo), math.log(hi)
+    for _ in range(rounds):
+        grid = np.exp(np.linspace(a, b, points)).tolist()
+        tried = F.explode(F.array(*map(F.lit, grid)))
+        outer = totals.withColumn("c", tried).select("c", (F.col("k") * (lgamma(F.col("c")) - lgamma(F.col("t") + F.col("c")))).alias("v"))
+        inner = entries.withColumn("c", tried).select("c", (F.col("k") * (lgamma(F.col("n") + F.col("c") * F.col("p")) - lgamma(F.col("c") * F.col("p")))).alias("v"))
+        # one row for each candidate
+        value = {r["c"]: r["v"] for r in outer.unionByName(inner).groupBy("c").agg(F.sum("v").alias("v")).collect()}
+        best = max(range(points), key=lambda i: value[grid[i]])
+        a, b = math.log(grid[max(0, best - 1)]), math.log(grid[min(points - 1, best + 1)])
+    return math.exp((a + b) / 2)
 
 
-def log_likelihoods(x: DataFrame, shares: DataFrame, lower: int) -> DataFrame:
-    """(cell, total, ll) of the droplets above `lower`."""
+def log_likelihoods(x: DataFrame, shares: DataFrame, lower: int, alpha: float | None = None) -> DataFrame:
+    """(cell, total, ll) of the droplets above `lower`; multinomial without a concentration."""
     n = F.col("n").cast("double")
-    per = x.join(shares, "gene").groupBy("cell").agg(F.sum("n").alias("total"), F.sum(n * F.ln("p") - lgamma(n + 1)).alias("s")).where(F.col("total") > lower)
-    return per.select("cell", "total", (F.col("s") + lgamma(F.col("total").cast("double") + 1)).alias("ll"))
+    of = n * F.ln("p") if alpha is None else lgamma(n + alpha * F.col("p")) - lgamma(alpha * F.col("p"))
+    per = x.join(shares, "gene").groupBy("cell").agg(F.sum("n").alias("total"), F.sum(of - lgamma(n + 1)).alias("s")).where(F.col("total") > lower)
+    t = F.col("total").cast("double")
+    whole = lgamma(t + 1) if alpha is None else lgamma(t + 1) + lgamma(F.lit(alpha)) - lgamma(t + alpha)
+    return per.select("cell", "total", (F.col("s") + whole).alias("ll"))
 
 
-def _simulated(p: np.ndarray, totals: np.ndarray, seed: int):
+def _simulated(p: np.ndarray, totals: np.ndarray, seed: int, alpha: float | None):
     """One random sequence of draws for each id; its running likelihood at every total needed, so that draws serve all totals."""
-    logs, edges, most = np.log(p), np.cumsum(p), int(totals[-1])
+    most = int(totals[-1])
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for i in frame["id"]:
-                genes = np.minimum(np.searchsorted(edges, np.random.default_rng([seed, int(i)]).random(most)), len(p) - 1)
+                rng = np.random.default_rng([seed, int(i)])
+                edges = np.cumsum(p if alpha is None else rng.gamma(alpha * p))
+                genes = np.minimum(np.searchsorted(edges, rng.random(most) * edges[-1]), len(p) - 1)
                 order = np.argsort(genes, kind="stable")
                 ranked = genes[order]
                 first = np.concatenate(([True], ranked[1:] != ranked[:-1]))
                 begin = np.maximum.accumulate(np.where(first, np.arange(most), 0))
                 rank = np.empty(most)
                 rank[order] = np.arange(most) - begin + 1
-                running = np.cumsum(logs[genes] - np.log(rank) + np.log(np.arange(1, most + 1)))
+                steps = np.arange(1, most + 1)
+                one = np.log(p[genes]) if alpha is None else np.log(rank - 1 + alpha * p[genes]) - np.log(steps - 1 + alpha)
+                running = np.cumsum(one - np.log(rank) + np.log(steps))
                 yield pd.DataFrame({"total": totals, "sim": running[totals - 1]})
 
     return run
 
 
-def empty_droplet_test(x: DataFrame, lower: int = 100, rounds: int = 1000, fdr: float = 0.01, seed: int = 1) -> DataFrame:
-    """(cell, total, p, fdr, non_empty) of droplets above `lower` counts.
+def empty_droplet_test(x: DataFrame, lower: int = 100, rounds: int = 1000, fdr: float = 0.01, seed: int = 1, alpha: float | str | None = "fit") -> DataFrame:
+    """(cell, total, p, fdr, non_empty) of droplets above `lower` counts; alpha is a concentration, 'fit' to estimate it, or None
+    for a plain multinomial.
 
     The ambient profile (a share for each gene) and the distinct totals go to the simulating tasks; both are bounded by
     the number of genes and the largest total, not by droplets.
     """
     spark = x.sparkSession
-    shares = ambient_shares(x, lower)
-    seen = log_likelihoods(x, shares, lower)
+    shares = saved(ambient_shares(x, lower))
+    alpha = concentration(x, shares, lower) if alpha == "fit" else alpha
+    seen = log_likelihoods(x, shares, lower, alpha)
     p = np.array([r["p"] for r in shares.orderBy("gene").select("p").collect()])
     totals = np.array(sorted(r["total"] for r in seen.select("total").distinct().collect()), np.int64)
     if not len(totals):
         return seen.select("cell", "total", F.lit(None).cast("double").alias("p"), F.lit(None).cast("double").alias("fdr"), F.lit(False).alias("non_empty"))
-    sims = spark.range(rounds).mapInPandas(_simulated(p, totals, seed), "total bigint, sim double").groupBy("total").agg(F.collect_list("sim").alias("sims"))
+    sims = spark.range(rounds).mapInPandas(_simulated(p, totals, seed, alpha), "total bigint, sim double").groupBy("total").agg(F.collect_list("sim").alias("sims"))
     below = F.size(F.filter("sims", lambda s: s <= F.col("ll")))
     tested = seen.join(sims, "total").select("cell", "total", ((below + 1) / F.lit(rounds + 1.0)).alias("p"))
     return benjamini_hochberg(tested).withColumn("non_empty", F.col("fdr") <= fdr)
