@@ -119,13 +119,22 @@ def cosine_matrix(means: DataFrame, label: str) -> DataFrame:
     return a.crossJoin(b).select("label_a", "label_b", cosine_distance(F.col("u"), F.col("v")).alias("distance"))
 
 
+def _steps(curve: DataFrame, window: int) -> DataFrame:
+    """(i, epoch, train, step, roll): positions from 1, the change to the row before, and the sum of the last `window` changes; by blocks of rows."""
+    from cytoframe.operators.ranking import global_row_number, in_blocks
+
+    placed = in_blocks(global_row_number(curve.select("epoch", "train"), ["epoch"], "i"), "i", window)
+    order = Window.partitionBy("_b").orderBy("i")
+    back = order.rowsBetween(1 - window, 0)
+    rows = placed.withColumn("step", F.col("train") - F.lag("train").over(order))
+    rows = rows.withColumn("roll", F.when(F.count("step").over(back) == window, F.sum("step").over(back)))
+    return rows.where("_own").select("i", "epoch", "train", "step", "roll")
+
+
 def learning_curve(curve: DataFrame, spike: float = 0.05, deviation: float = 0.25, window: int = 20) -> DataFrame:
     """One row of checks on (epoch, train): range, spikes, deviations, final dip and the least rolling sum of changes."""
-    order = Window.orderBy("epoch")
     n = curve.agg(F.count("*").alias("n"), F.expr("percentile(train, 0.95) - percentile(train, 0.05)").alias("span"), F.max("train").alias("top"), F.max_by("train", "epoch").alias("last"))
-    rows = curve.withColumn("i", F.row_number().over(order) - 1).withColumn("step", F.col("train") - F.lag("train").over(order)).crossJoin(F.broadcast(n))
-    rolling = F.when(F.count("step").over(order.rowsBetween(1 - window, 0)) == window, F.sum("step").over(order.rowsBetween(1 - window, 0)))
-    rows = rows.withColumn("roll", rolling)
+    rows = _steps(curve, window).withColumn("i", F.col("i") - 1).crossJoin(F.broadcast(n))
     half, end = F.floor(F.col("n") / 2), F.floor(F.col("n") * 3 / 4)
     med = rows.where(F.col("i") >= half).agg(F.median("train").alias("mid"))
     mid = rows.where((F.col("i") >= half) & (F.col("i") < end)).agg(F.stddev_pop("train").alias("typical"))
@@ -139,11 +148,12 @@ def learning_curve(curve: DataFrame, spike: float = 0.05, deviation: float = 0.2
 
 def convergence_indicator(curve: DataFrame) -> DataFrame:
     """One row: mean absolute change of the two steps before the last, over the deviation of the last twenty; null below 21 epochs. Overall change along."""
-    order = Window.orderBy("epoch")
-    rows = curve.withColumn("step", F.col("train") - F.lag("train").over(order)).withColumn("back", F.row_number().over(Window.orderBy(F.col("epoch").desc())))
-    return rows.agg(
-        F.when(F.count("*") > 20, F.avg(F.when(F.col("back").isin(2, 3), F.abs("step"))) / F.stddev_pop(F.when(F.col("back") <= 20, F.col("train")))).alias("convergence_indicator"), (F.max_by("train", "epoch") - F.min_by("train", "epoch")).alias("overall_change"),
-    )
+    # the last 21 rows tell all but the first value
+    tail = curve.orderBy(F.col("epoch").desc()).limit(21)
+    order = Window.orderBy(F.col("epoch").desc())
+    rows = tail.withColumn("back", F.row_number().over(order)).withColumn("step", F.col("train") - F.lead("train").over(order))
+    last = rows.agg(F.when(F.count("*") > 20, F.avg(F.when(F.col("back").isin(2, 3), F.abs("step"))) / F.stddev_pop(F.when(F.col("back") <= 20, F.col("train")))).alias("convergence_indicator"))
+    return last.crossJoin(curve.agg((F.max_by("train", "epoch") - F.min_by("train", "epoch")).alias("overall_change")))
 
 
 def principal_components(table: DataFrame, array: str, k: int = 2) -> DataFrame:
@@ -175,6 +185,38 @@ def trimmed(x: DataFrame, top_genes: int | None = None, top_cells: int | None =
     return out.join(cells.select("cell"), "cell", "left_semi")
 
 
+def ignored_genes(x: DataFrame, var: DataFrame, cells: DataFrame, expected_cells: int, feature_types: list[str] | None = None, feature_type: str = "feature_type", least_ambient: float = 0.1) -> DataFrame:
+    """(gene): genes that noise removal leaves alone: those of other feature types than the ones given, and those of which the
+    ambient profile (droplets that are no cell) projects fewer than `least_ambient` counts into all expected cells."""
+    empty = x.join(cells.select("cell"), "cell", "left_anti")
+    size = empty.agg(F.count_distinct("cell").alias("_k"))
+    per = empty.groupBy("gene").agg(F.sum("n").alias("_s")).crossJoin(F.broadcast(size)).select("gene", (F.col("_s") / F.col("_k") * expected_cells).alias("projected"))
+    told = var.join(per, "gene", "left")
+    other = F.lit(False) if feature_types is None else ~F.coalesce(F.col(feature_type).isin(feature_types), F.lit(False))
+    return told.where(other | (F.coalesce("projected", F.lit(0.0)) < least_ambient)).select("gene")
+
+
+def trimmed_for_removal(x: DataFrame, ignored: DataFrame, total_droplets: int, least_counts: int = 5) -> tuple[DataFrame, DataFrame]:
+    """(entries that noise removal sees, entries that pass through unchanged): the largest droplets of at least `least_counts`
+    counts, ties by name, without the ignored genes; and the entries of ignored genes."""
+    own = x.join(ignored.select("gene"), "gene", "left_anti")
+    return trimmed(own, top_cells=total_droplets, least_counts=least_counts), x.join(ignored.select("gene"), "gene", "left_semi")
+
+
+def against_other_output(raw: DataFrame, out: DataFrame, least_empty: int = 5) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """What another tool's output leaves of a raw matrix: (raw entries of its cells and genes, ambient profile (gene, share),
+    one row with the median counts of empty droplets). Empty droplets are those it lacks with more than `least_empty` counts
+    over its genes; shares are guarded by 1e-10."""
+    genes = out.select("gene").distinct()
+    inside = raw.join(genes, "gene", "left_semi")
+    cells = out.select("cell").distinct()
+    empty = inside.join(cells, "cell", "left_anti")
+    size = empty.groupBy("cell").agg(F.sum("n").alias("t")).where(F.col("t") > least_empty)
+    per = empty.join(size.select("cell"), "cell", "left_semi").groupBy("gene").agg(F.sum("n").alias("s"))
+    share = genes.join(per, "gene", "left").select("gene", F.coalesce("s", F.lit(0)).alias("s")).crossJoin(F.broadcast(per.agg(F.coalesce(F.sum("s"), F.lit(0)).alias("z"))))
+    return inside.join(cells, "cell", "left_semi"), share.select("gene", (F.col("s") / (F.col("z") + 1e-10)).alias("share")), size.agg(F.median("t").alias("median_empty"))
+
+
 def sampled_cells(cells: DataFrame, k: int, seed: int = 0) -> DataFrame:
     """k cells by the order of the md5 of their name and the seed."""
     return cells.orderBy(F.md5(F.concat_ws(":", F.col("cell").cast("string"), F.lit(str(seed)))), "cell").limit(k)

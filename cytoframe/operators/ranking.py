@@ -75,3 +75,13 @@ def rank_in_groups(df: DataFrame, group: str, order: list[Column | str], name: s
     before = F.coalesce(F.sum("_n").over(Window.partitionBy(group).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     shift = parts.select("_p", group, (before - F.col("_least") + 1).alias("_shift"))
     return ordered.join(shift, ["_p", group]).select(*df.columns, (F.col("_i") + F.col("_shift")).alias(name))
+
+
+def in_blocks(df: DataFrame, position: str, before: int, block: int = BLOCK) -> DataFrame:
+    """Rows by blocks of positions (_b), each block led in by the `before` rows ahead of it (_own false), so that a window over
+    one block sees what a window over the whole table would, for frames of no more than `before` rows back."""
+    at = F.col(position)
+    number = F.floor((at - 1) / block).cast("bigint")
+    # a row leads into the next block if it stands among the last rows of its own
+    twice = F.pmod(at - 1, F.lit(block)) >= block - before
+    return df.withColumn("_b", F.explode(F.when(twice, F.array(number, number + 1)).otherwise(F.array(number)))).withColumn("_own", F.col("_b") == number)

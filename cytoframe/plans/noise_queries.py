@@ -89,6 +89,21 @@ def denoise_subtract(spark, d):
     return denoised(spark, d).withColumn("n", F.col("n").cast("bigint"))
 
 
+@query(with_("x q", OUT + " SELECT * FROM den"))
+def denoised_store(spark, d):
+    """The outcome of noise removal, committed to a store of the shared folder and read again."""
+    import uuid
+
+    from cytoframe.operators.components import saved
+    from cytoframe.sinks.committed import read_committed, write_denoised
+
+    x = saved(P.x(spark, d))
+    cells = P.non_empty(spark, d).withColumn("p", F.lit(0.9)).unionByName(P.table(spark, d, "orders").where("o_orderstatus = 'P'").select(F.col("o_orderkey").alias("cell"), F.lit(0.5).alias("p")))
+    path = f"{spark.sparkContext.getCheckpointDir()}/denoised-{uuid.uuid4().hex}"
+    write_denoised(x, entry_noise(spark, d), cells, path, expected_cells=10000, fpr=FPR)
+    return read_committed(spark, path, "filtered").withColumn("n", F.col("n").cast("bigint"))
+
+
 @query(with_("x q mt", OUT + " SELECT * FROM den WHERE gene NOT IN (SELECT gene FROM mt) UNION ALL SELECT * FROM x WHERE gene IN (SELECT gene FROM mt)"))
 def denoise_restored(spark, d):
     return noise.restored(denoised(spark, d), P.x(spark, d), P.mt_genes(spark, d)).withColumn("n", F.col("n").cast("bigint"))

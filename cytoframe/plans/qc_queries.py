@@ -261,3 +261,70 @@ SELECT category, (row_number() OVER (ORDER BY CASE category WHEN 'doublets' THEN
 def category_order(spark, d):
     kind = F.when(F.col("o_orderkey") % 5 == 0, "doublets").when(F.col("o_orderkey") % 3 == 0, "filtered").otherwise(F.col("o_orderpriority"))
     return labels.category_order(P.table(spark, d, "orders").select(kind.alias("category")))
+
+
+@query(with_("x", """, b AS (SELECT cell, gene, CASE WHEN gene % 50 = 1 THEN n + 1 ELSE n END AS n FROM x WHERE cell % 7 <> 0), o AS (SELECT o_orderkey AS cell, o_orderstatus AS state FROM orders), p AS (SELECT cell, state FROM o WHERE cell % 7 <> 0), v AS (SELECT p_partkey AS gene, p_brand, p_type FROM part)
+SELECT 'obs' AS part, (SELECT count(*) FROM o) AS n_left, (SELECT count(*) FROM p) AS n_right, (SELECT count(*) FROM (FROM o EXCEPT ALL FROM p)) AS only_left, (SELECT count(*) FROM (FROM p EXCEPT ALL FROM o)) AS only_right, '' AS columns_left, '' AS columns_right, (SELECT count(*) FROM o) = (SELECT count(*) FROM p) AS same
+UNION ALL SELECT 'var', (SELECT count(*) FROM v), (SELECT count(*) FROM v), 0, 0, 'p_type', '', false
+UNION ALL SELECT 'x', (SELECT count(*) FROM x), (SELECT count(*) FROM b), (SELECT count(*) FROM (FROM x EXCEPT ALL FROM b)), (SELECT count(*) FROM (FROM b EXCEPT ALL FROM x)), '', '', false"""))
+def bundle_compare(spark, d):
+    """Two data sets compared whole: the second lacks every seventh cell and a column, and some of its counts differ."""
+    from cytoframe.operators.compare import compare_bundles
+    from cytoframe.sources.matrix import Bundle
+
+    x, obs = P.x(spark, d), P.table(spark, d, "orders").select(F.col("o_orderkey").alias("cell"), F.col("o_orderstatus").alias("state"))
+    other = x.where("cell % 7 <> 0").withColumn("n", F.when(F.col("gene") % 50 == 1, F.col("n") + 1).otherwise(F.col("n")))
+    return compare_bundles(Bundle(obs, P.var(spark, d), x), Bundle(obs.where("cell % 7 <> 0"), P.var(spark, d).drop("p_type"), other))
+
+
+@query("""WITH s AS (SELECT * FROM orders ORDER BY ('0x' || md5('0:' || o_orderkey)[1:13])::BIGINT LIMIT 1000), n AS (SELECT count(*) AS n_rows FROM orders), k AS (SELECT count(*)::INT AS n_sampled FROM s)
+SELECT 'o_orderkey' AS col_name, n_rows, 0::BIGINT AS nulls, (SELECT min(o_orderkey)::DOUBLE FROM orders) AS least, (SELECT max(o_orderkey)::DOUBLE FROM orders) AS most, n_sampled, (SELECT count(DISTINCT o_orderkey) FROM s) AS n_distinct, 'count data' AS kind FROM n, k
+UNION ALL SELECT 'o_custkey', n_rows, 0, (SELECT min(o_custkey) FROM orders), (SELECT max(o_custkey) FROM orders), n_sampled, (SELECT count(DISTINCT o_custkey) FROM s), 'count data' FROM n, k
+UNION ALL SELECT 'o_totalprice', n_rows, 0, (SELECT min(o_totalprice) FROM orders), (SELECT max(o_totalprice) FROM orders), n_sampled, (SELECT count(DISTINCT o_totalprice) FROM s), CASE WHEN (SELECT bool_and(o_totalprice = floor(o_totalprice)) FROM s) THEN 'float-stored integers' ELSE 'positive continuous values' END FROM n, k
+UNION ALL SELECT 'o_orderstatus', n_rows, 0, NULL, NULL, n_sampled, (SELECT count(DISTINCT o_orderstatus) FROM s), 'categorical' FROM n, k
+UNION ALL SELECT 'o_orderdate', n_rows, 0, NULL, NULL, n_sampled, (SELECT count(DISTINCT o_orderdate) FROM s), CASE WHEN (SELECT count(DISTINCT o_orderdate) FROM s) < 0.5 * n_sampled THEN 'categorical' ELSE 'text' END FROM n, k
+UNION ALL SELECT 'o_orderpriority', n_rows, 0, NULL, NULL, n_sampled, (SELECT count(DISTINCT o_orderpriority) FROM s), 'categorical' FROM n, k""")
+def profile_sampled(spark, d):
+    """All columns of orders, counted and sampled by one aggregate."""
+    from cytoframe.operators.profile import sampled_profile
+
+    return sampled_profile(P.table(spark, d, "orders"), ["o_orderkey"]).drop("stored", "examples")
+
+
+@query("SELECT o_orderkey AS cell, o_orderkey % 11 > 5 AS above, o_orderkey % 11 >= 5 AS at_or_above FROM orders")
+def cell_calls(spark, d):
+    """Droplets above and at the cut-off of a cell."""
+    from cytoframe.sinks.committed import called_cells
+
+    p = P.table(spark, d, "orders").select(F.col("o_orderkey").alias("cell"), (F.col("o_orderkey") % 11 / 10.0).alias("p"))
+    mark = lambda df, name: df.withColumn(name, F.lit(True))
+    both = p.select("cell").join(mark(called_cells(p), "above"), "cell", "left").join(mark(called_cells(p, inclusive=True), "at_or_above"), "cell", "left")
+    return both.select("cell", F.coalesce("above", F.lit(False)).alias("above"), F.coalesce("at_or_above", F.lit(False)).alias("at_or_above"))
+
+
+@query(with_("x", """, o AS (SELECT * FROM x WHERE gene % 3 <> 0 AND cell IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F')), i AS (SELECT * FROM x WHERE gene IN (SELECT gene FROM o)),
+e AS (SELECT * FROM i WHERE cell NOT IN (SELECT cell FROM o)), big AS (SELECT cell FROM e GROUP BY 1 HAVING sum(n) > 60), s AS (SELECT gene, sum(n) AS s FROM e WHERE cell IN (SELECT cell FROM big) GROUP BY 1)
+SELECT g.gene, round(coalesce(s, 0) / ((SELECT sum(s) FROM s) + 1e-10), 9) AS share FROM (SELECT DISTINCT gene FROM o) g LEFT JOIN s USING (gene)"""))
+def other_output_ambient(spark, d):
+    """The ambient profile that another tool's output leaves: droplets it lacks, over its genes."""
+    from cytoframe.operators import metrics as measures
+
+    x = P.x(spark, d)
+    out = x.where("gene % 3 <> 0").join(P.table(spark, d, "orders").where("o_orderstatus = 'F'").select(F.col("o_orderkey").alias("cell")), "cell", "left_semi")
+    return measures.against_other_output(x, out, least_empty=60)[1].withColumn("share", F.round("share", 9))
+
+
+@query(with_("x", """, c AS (SELECT o_orderkey AS cell FROM orders WHERE o_orderstatus = 'F'), e AS (SELECT * FROM x WHERE cell NOT IN (SELECT cell FROM c)), k AS (SELECT count(DISTINCT cell) AS k FROM e),
+p AS (SELECT gene, sum(n) * 50.0 / max(k) AS projected FROM e, k GROUP BY 1), ig AS (SELECT p_partkey AS gene FROM part LEFT JOIN p ON gene = p_partkey WHERE NOT starts_with(p_type, 'STANDARD') OR coalesce(projected, 0) < 0.7),
+own AS (SELECT * FROM x WHERE gene NOT IN (SELECT gene FROM ig)), t AS (SELECT cell, sum(n) AS t FROM own GROUP BY 1 HAVING sum(n) >= 5 ORDER BY t DESC, cell LIMIT 400)
+SELECT cell, gene, n, true AS trained FROM own WHERE cell IN (SELECT cell FROM t) UNION ALL SELECT cell, gene, n, false FROM x WHERE gene IN (SELECT gene FROM ig)"""))
+def removal_trimming(spark, d):
+    """What noise removal sees of a matrix, and what passes through it."""
+    from cytoframe.operators import metrics as measures
+
+    x = P.x(spark, d)
+    cells = P.table(spark, d, "orders").where("o_orderstatus = 'F'").select(F.col("o_orderkey").alias("cell"))
+    var = P.var(spark, d).withColumn("feature_type", F.split("p_type", " ")[0])
+    ignored = measures.ignored_genes(x, var, cells, 50, ["STANDARD"], least_ambient=0.7)
+    seen, passed = measures.trimmed_for_removal(x, ignored, 400)
+    return seen.withColumn("trained", F.lit(True)).unionByName(passed.withColumn("trained", F.lit(False)))

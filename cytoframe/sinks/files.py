@@ -54,6 +54,29 @@ def write_stats(stats: DataFrame, path: str) -> None:
     stats.selectExpr(f"stack({len(stats.columns)}, {stack}) as (k, v)").select(F.concat_ws(" ", "k", "v").alias("value")).coalesce(1).write.text(path)
 
 
+def stats_lines(stats: DataFrame) -> DataFrame:
+    """(line, value): the six lines of a run's statistics file, from one row (total_counts, deduped_counts, distinct_keys, cells,
+    unmatched, cells_with_feature); shares of nothing are 0.00."""
+    pct = lambda a, b: F.format_string("%.2f", F.when(b == 0, 0.0).otherwise(100.0 * a / F.nullif(b.cast("double"), F.lit(0.0))))
+    c = {n: F.col(n) for n in ("total_counts", "deduped_counts", "distinct_keys", "cells", "unmatched", "cells_with_feature")}
+    # fixed wording of the file
+    lines = [
+        ("Total feature counts", c["total_counts"].cast("string")),
+        ("Total deduped feature counts", c["deduped_counts"].cast("string")),
+        ("Total unique barcode UMIs", c["distinct_keys"].cast("string")),
+        ("Total whitelisted barcodes", c["cells"].cast("string")),
+        ("Percentage features assigned to barcode", pct(c["total_counts"] - c["unmatched"], c["total_counts"])),
+        ("Percentage barcodes assigned feature", pct(c["cells_with_feature"], c["cells"])),
+    ]
+    rows = F.array(*[F.struct(F.lit(i).alias("line"), F.concat_ws(" ", F.lit(k), v).alias("value")) for i, (k, v) in enumerate(lines)])
+    return stats.select(F.explode(rows).alias("x")).select("x.line", "x.value")
+
+
+def write_stats_lines(stats: DataFrame, path: str) -> None:
+    """The six lines as one text file."""
+    stats_lines(stats).coalesce(1).sortWithinPartitions("line").select("value").write.text(path)
+
+
 def write_table(table: DataFrame, path: str, order: list[str], sep: str = "\t", header: bool = True) -> None:
     table.orderBy(*order).write.csv(path, sep=sep, header=header)
 
