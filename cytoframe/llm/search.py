@@ -39,6 +39,8 @@ from cytoframe.llm.tokens import table_of, words_of
 
 BLOCK_DOCS, BLOCK_BYTES = 128, 1 << 20
 BEST = 50
+#: Bytes of text that are split into words at a time.
+RUN_BYTES = 2 << 20
 #: Items, and bytes of their texts, that one search carries to its tasks, about.
 ITEMS, ITEM_BYTES = 1024, 4 << 20
 #: Blocks that give an item its first threshold.
@@ -78,7 +80,7 @@ def _indexed(block_docs: int, block_bytes: int):
         number = TaskContext.get().partitionId() << 33
         for b in batches:
             ids = b.column(0).to_numpy(zero_copy_only=False)
-            for start, texts in runs_by_bytes(b.column(1)):
+            for start, texts in runs_by_bytes(b.column(1), RUN_BYTES):
                 words = words_of(texts, _SEPARATE)
                 terms, which = np.unique(words.hash, return_inverse=True)
                 pairs, times = np.unique(words.text * max(1, len(terms)) + which, return_counts=True)
