@@ -328,3 +328,18 @@ def removal_trimming(spark, d):
     ignored = measures.ignored_genes(x, var, cells, 50, ["STANDARD"], least_ambient=0.7)
     seen, passed = measures.trimmed_for_removal(x, ignored, 400)
     return seen.withColumn("trained", F.lit(True)).unionByName(passed.withColumn("trained", F.lit(False)))
+
+
+@query(with_("layers", """, c AS (SELECT o_orderkey AS cell, CASE WHEN o_orderkey % 10 = 0 THEN 'NaN' WHEN o_orderkey % 10 = 1 THEN '' ELSE o_orderpriority END AS celltype FROM orders WHERE o_orderstatus <> 'P' AND o_orderkey % 10 > 1),
+v AS (SELECT layer, cell, gene, n, sum(n) OVER (PARTITION BY layer, cell) AS total FROM layers WHERE layer <> 'ambiguous')
+SELECT cell || '_' || layer AS cell, gene, celltype, layer AS sample, round(ln(1 + n * 10000.0 / total), 6) AS value FROM v JOIN c USING (cell)"""))
+def reference_build(spark, d):
+    """The labelled cells of two samples as one reference."""
+    from cytoframe.operators.reference import build_reference
+    from cytoframe.sources.matrix import Bundle
+
+    key = F.col("o_orderkey")
+    kind = F.when(key % 10 == 0, "NaN").when(key % 10 == 1, "").otherwise(F.col("o_orderpriority"))
+    obs = P.table(spark, d, "orders").select(key.alias("cell"), kind.alias("celltype"), (F.col("o_orderstatus") != "P").alias("singlet_filtered"))
+    ref = build_reference([(k, "solo", Bundle(obs, P.var(spark, d), P.layer(spark, d, k))) for k in ("spliced", "unspliced")])
+    return ref.x.join(ref.obs.select("cell", "celltype", "sample"), "cell").select("cell", "gene", "celltype", "sample", F.round("value", 6).alias("value"))
