@@ -80,6 +80,13 @@ def sample_names(assigned: DataFrame, names: DataFrame) -> DataFrame:
     return joined.select("cell", F.coalesce("sample", "value").alias("value"))
 
 
+def categories_of(barcodes: DataFrame, number: str, prefix: str = "BC") -> DataFrame:
+    """(name): the fixed categories, then one for each distinct barcode number of a table."""
+    own = barcodes.where(F.col(number).isNotNull()).select(F.concat(F.lit(prefix), F.col(number).cast("string")).alias("name")).distinct()
+    fixed = barcodes.sparkSession.range(1).select(F.explode(F.array(*[F.lit(n) for n in TABLE_ORDER])).alias("name"))
+    return fixed.unionByName(own)
+
+
 def generated_categories(spark, count: int = 245979, prefix: str = "BC") -> DataFrame:
     """(name): the fixed categories, then prefix1..prefix<count>."""
     fixed = spark.createDataFrame([(n,) for n in TABLE_ORDER], "name string")

@@ -242,9 +242,10 @@ def set_difference(spark, d):
     return a.distinct().join(P.table(spark, d, "orders").where("o_orderstatus = 'F'").select(F.col("o_orderkey").alias("cell")), "cell", "left_anti")
 
 
-@query("SELECT name, pos::BIGINT AS pos FROM (SELECT 'ambiguous' AS name, 0 AS pos UNION ALL SELECT 'doublet', 0 UNION ALL SELECT 'missing_cells', 0 UNION ALL SELECT 'unassignable', 0 UNION ALL SELECT 'BC' || i, i FROM range(1, 245980) t(i))")
+@query("SELECT name, pos::BIGINT AS pos FROM (SELECT 'ambiguous' AS name, 0 AS pos UNION ALL SELECT 'doublet', 0 UNION ALL SELECT 'missing_cells', 0 UNION ALL SELECT 'unassignable', 0 UNION ALL SELECT 'BC' || p_partkey, p_partkey FROM (SELECT DISTINCT p_partkey FROM part))")
 def generated_categories(spark, d):
-    rows = labels.generated_categories(spark)
+    """The fixed categories and one for each barcode number of part."""
+    rows = labels.categories_of(P.table(spark, d, "part"), "p_partkey")
     return rows.withColumn("pos", F.coalesce(F.try_to_number(F.substring("name", 3, 20), F.lit("999999999")).cast("bigint"), F.lit(0)))
 
 

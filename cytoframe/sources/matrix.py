@@ -158,17 +158,3 @@ def read_bundle(spark: SparkSession, path: str) -> Bundle:
     """The native store: Parquet tables obs, var, x and layers."""
     get = lambda n: spark.read.parquet(f"{path}/{n}")
     return Bundle(get("obs"), get("var"), get("x"), get("layers") if _exists(spark, f"{path}/layers") else None)
-
-
-def read_h5(spark: SparkSession, path: str) -> Bundle:
-    """An h5ad file through the anndata library, where that is installed; converts on the driver, for files that fit there."""
-    try:
-        import anndata
-    except ImportError as e:
-        raise ImportError("reading h5ad needs the anndata package; convert to a Parquet bundle elsewhere") from e
-    data = anndata.read_h5ad(path)
-    coo = data.X.tocoo()
-    names, genes = data.obs_names, data.var_names
-    x = spark.createDataFrame(list(zip(names[coo.row].tolist(), genes[coo.col].tolist(), coo.data.astype(float).tolist())), "cell string, gene string, value double")
-    obs = spark.createDataFrame(data.obs.reset_index(names="cell"))
-    return Bundle(obs, spark.createDataFrame([(g,) for g in genes], "gene string"), x)
