@@ -178,9 +178,20 @@ def collected(features: DataFrame) -> tuple[list[str], list[str]] | None:
 _SHAPE = "feature string, distance int, place int"
 
 
+#: Bytes of reads that one core should have at least before an input counts as large; larger inputs have splits enough.
+SPLIT_BYTES = 128 << 20
+
+
+def spread(rows: DataFrame) -> DataFrame:
+    """A small table dealt out to all cores, since the search costs far more than a shuffle of it; a large one as it is."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    size = int(str(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return rows.repartition(cores) if size < cores * SPLIT_BYTES else rows
+
+
 def _mapped(reads: DataFrame, work, schema: str) -> DataFrame:
     kind = dict(reads.dtypes)["read_id"]
-    return reads.select("read_id", "read").mapInArrow(work, f"read_id {kind}, {schema}")
+    return spread(reads.select("read_id", "read")).mapInArrow(work, f"read_id {kind}, {schema}")
 
 
 def _rows(batch: pa.RecordBatch, names: list[str], best: Nearest, also: Nearest | None = None) -> pa.RecordBatch:
