@@ -45,6 +45,26 @@ def if_small(narrow: DataFrame, most: int = SMALL) -> DataFrame:
     return F.broadcast(narrow) if narrow.limit(most + 1).count() <= most else narrow
 
 
+#: A key with more rows than both is hot; of n rows, MOST_HOT keys at most have more than n / MOST_HOT.
+HOT_ROWS, MOST_HOT = 256, 1024
+
+
+def joined_by_key(rows: DataFrame, table: DataFrame, on: dict[str, str], weight: str, most: int) -> DataFrame:
+    """rows with the columns of table, which has one row for each key and in `weight` how many of rows hold it, about.
+
+    `on` names a column of table for each key column of rows; nulls are equal. `most` bounds the number of rows. Rows of a
+    hot key stay where they are and its entry comes to them by broadcast; all others meet theirs by shuffle.
+    """
+    entry = table.withColumnRenamed(weight, "__w")
+    keys = [rows[r].eqNullSafe(entry[t]) for r, t in on.items()]
+    hot = F.col("__w") > max(HOT_ROWS, most // MOST_HOT)
+    # bounded: MOST_HOT rows
+    split = rows.join(F.broadcast(entry.where(hot)), keys, "left")
+    rest = split.where("__w is null").select(*[rows[c] for c in rows.columns])
+    rest = rest.join(entry.where(~hot), [rest[r].eqNullSafe(entry[t]) for r, t in on.items()])
+    return split.where("__w is not null").unionByName(rest).withColumnRenamed("__w", weight)
+
+
 def fold_of(doc_id: Column | str, folds: int) -> Column:
     """crc32 of the id as text, modulo the number of folds."""
     return F.crc32(F.col(doc_id).cast("string") if isinstance(doc_id, str) else doc_id.cast("string")) % folds

@@ -16,10 +16,10 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cytoframe.llm.common import by_text, checkpoint
+from cytoframe.llm.common import by_text, checkpoint, joined_by_key
 from cytoframe.llm.components import connected_components
 
 BITS = 64
@@ -71,15 +71,19 @@ def ball_links(fps: DataFrame, fp: str = "fp") -> DataFrame:
 
 def simhash_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 3) -> DataFrame:
     """(doc_id, text_hash, fp, component_id, root) for every row: component_id is the smallest id reachable over links of
-    two bits, root the smallest fingerprint (signed) of the component."""
+    two bits, root the smallest fingerprint (signed) of the component.
+
+    Ids are of any type with an order. Rows of a fingerprint that very many share (that of empty texts, or of one copied
+    text) are not brought together.
+    """
     fps = checkpoint(simhash_fingerprints(docs, doc_id, text, shingle))
-    node = fps.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    node = fps.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("n"))
     comp = connected_components(ball_links(fps))
     # fingerprints without a link are components of their own and skip the join over roots
     rooted = node.join(comp.withColumnRenamed("node", "fp"), "fp", "left")
     ids = rooted.where("root is not null").groupBy("root").agg(F.min("least").alias("component_id"))
-    named = rooted.join(ids, "root", "left").select("fp", F.when(F.col("root").isNull(), F.col("least")).otherwise(F.col("component_id")).alias("component_id"), F.coalesce("root", "fp").alias("root"))
-    return fps.join(named, "fp").select("doc_id", "text_hash", "fp", "component_id", "root")
+    named = rooted.join(ids, "root", "left").select(F.col("fp").alias("node"), "n", F.when(F.col("root").isNull(), F.col("least")).otherwise(F.col("component_id")).alias("component_id"), F.coalesce("root", "fp").alias("root"))
+    return joined_by_key(fps, checkpoint(named), {"fp": "node"}, "n", fps.count()).select("doc_id", "text_hash", "fp", "component_id", "root")
 
 
 def hex_of(fp: str = "fp"):
@@ -90,19 +94,20 @@ def hex_of(fp: str = "fp"):
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 3) -> DataFrame:
     """The documents without near-duplicates: of each component the row with the smallest id stays, all columns intact.
 
-    Rows of the component that repeat that id shrink to one; documents with a null id stay only where their whole
-    component has no id, one of them.
+    Rows of the component that repeat that id shrink to one, of the text with the least hash (a signed number), and of
+    equal texts the row with the least hash over all columns; documents with a null id stay only where their whole
+    component has no id, one of them. Ids are of any type with an order, extra columns have any names. Rows of an id and
+    text that very many repeat are not brought together.
     """
-    none = F.lit(-(1 << 63))
-    key = F.coalesce(F.col("doc_id").cast("bigint"), none)
     groups = simhash_groups(docs, doc_id, text, shingle)
-    # of each component one pair of id and text; `__n` tells how many rows repeat that pair
-    first = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("root", key.alias("__stay"), F.col("text_hash").alias("__text")).agg(F.count("*").alias("__n"))
-    stay = first.groupBy("root").agg(F.min(F.struct("__stay", "__text", "__n")).alias("x")).select("x.*")
-    keyed = docs.withColumns({"__stay": F.coalesce(F.col(doc_id).cast("bigint"), none), "__text": F.xxhash64(F.col(text).cast("string"))})
-    held = keyed.join(stay, ["__stay", "__text"])
-    # almost every pair stands once; only repeated ones pass through the window
-    once = held.where("__n = 1").select(*docs.columns)
-    order = Window.partitionBy("__stay", "__text").orderBy(F.xxhash64(*docs.columns))
-    again = held.where("__n > 1").withColumn("__r", F.row_number().over(order)).where("__r = 1").select(*docs.columns)
-    return once.unionByName(again)
+    # of each component one pair of id and text; `n` tells how many rows repeat that pair
+    pairs = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("root", "doc_id", "text_hash").agg(F.count("*").alias("n"))
+    stay = checkpoint(pairs.groupBy("root").agg(F.min(F.struct("doc_id", "text_hash", "n")).alias("x")).select("x.*"))
+    names = [f"_c{i}" for i in range(len(docs.columns))]
+    own = names[docs.columns.index(doc_id)]
+    keyed = docs.toDF(*names).withColumn("_h", F.xxhash64(F.col(names[docs.columns.index(text)]).cast("string")))
+    held = joined_by_key(keyed, stay, {own: "doc_id", "_h": "text_hash"}, "n", stay.agg(F.sum("n")).first()[0] or 0)
+    # almost every pair stands once; only repeated ones are aggregated
+    once = held.where("n = 1").select(*names)
+    again = held.where("n > 1").groupBy(own, "_h").agg(F.min_by(F.struct(*names), F.xxhash64(*names)).alias("_r")).select("_r.*")
+    return once.unionByName(again).toDF(*docs.columns)

@@ -2,7 +2,7 @@
 
 KIND = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 #: Columns whose names the operators use inside or return themselves.
-CLASH = ["fp", "size", "h", "base", "cands", "added", "score", "shard", "component_id", "ids", "_t", "_id", "_k0", "_o0", "value", "m", "copies", "taken", "node", "root", "variant", "target", "src", "id", "kind", "a", "b", "key", "_p", "_g", "_n"]
+CLASH = ["fp", "size", "h", "base", "cands", "added", "score", "shard", "component_id", "ids", "_t", "_id", "_k0", "_o0", "value", "m", "copies", "taken", "node", "root", "variant", "target", "src", "id", "kind", "a", "b", "key", "_p", "_g", "_n", "__stay", "__text", "__n", "__r", "n", "_h", "_c0", "__w", "text_hash", "__base", "__cands"]
 
 
 def prose(seed: int, words: int, vocabulary: int = 5000) -> str:
