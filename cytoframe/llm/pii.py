@@ -384,8 +384,23 @@ def pii_fit(docs: DataFrame, text: str = "text") -> SpanModel:
 
 
 def pii_spans(docs: DataFrame, model: SpanModel, text: str = "text") -> DataFrame:
-    """docs with base and added: arrays of struct<kind, start, stop>."""
-    return examined(docs, text).withColumn("added", accepted(model, F.col("base"), F.col("cands"))).drop("cands")
+    """docs with base and added: arrays of struct<kind, start, stop>.
+
+    All columns of docs pass through untouched and in place; one that is itself named base or added is called base_input
+    or added_input in the result, with more `_input` behind it where that is a column too. Repeated rows stay as they are.
+    """
+    names = [f"_c{i}" for i in range(len(docs.columns))]
+    taken = {*docs.columns, "base", "added"}
+
+    def name(c: str) -> str:
+        if c not in ("base", "added"):
+            return c
+        while c in taken:
+            c += "_input"
+        return c
+
+    found = examined(docs.toDF(*names), names[docs.columns.index(text)])
+    return found.select(*[F.col(n).alias(name(c)) for c, n in zip(docs.columns, names)], "base", accepted(model, F.col("base"), F.col("cands")).alias("added"))
 
 
 def redacted_documents(docs: DataFrame, text: str = "text", n_chars: str = "n_chars") -> DataFrame:

@@ -5,6 +5,7 @@ from collections import Counter
 
 import pytest
 from llm_cases import CLASH, edge_rows
+from pyspark.sql import functions as F
 
 from cytoframe.llm import bpe, fingerprints, langid, mixing, passages, pii, quality, sharding, simhash, telephony
 from cytoframe.llm.queries import ranks_path, split_pattern
@@ -73,8 +74,11 @@ def test_telephony(edges, nothing):
 
 def test_pii(edges, nothing):
     model = pii.pii_fit(edges)
-    got = pii.pii_spans(edges.drop("base", "cands", "added"), model)
+    got = pii.pii_spans(edges, model)
     assert ids_of(got) == IDS
+    assert got.columns == [{"base": "base_input", "added": "added_input"}.get(c, c) for c in edges.columns] + ["base", "added"]
+    assert all(r[{"base": "base_input", "added": "added_input"}.get(c, c)] == "clash" for r in got.collect() for c in CLASH)
+    assert "base_input_input" in pii.pii_spans(nothing.withColumns({"base": F.lit(1), "base_input": F.lit(2)}), model).columns
     kinds = Counter(s["kind"] for r in got.collect() if r["doc_id"] is None for s in r["base"])
     assert kinds == {"phone": 1, "email": 1}
     clean = pii.redacted_documents(edges)
