@@ -5,7 +5,7 @@ three further kinds: `secret` (long random tokens), `id` (grouped numbers such a
 country code) and `name` (two capitalised words). Four labelers vote on each candidate with -1, 0 or 1:
 
 * shape: the strict form of the kind,
-* gazetteer: given names, or key words and issuer prefixes inside the span,
+* gazetteer: known given and family names, numbers that the issuing plan allows, issuer prefixes of keys,
 * left context: cue words shortly before the span,
 * content: digit and letter statistics of the span.
 
@@ -44,8 +44,30 @@ NUMBER = r"(?<![0-9A-Za-z.+-])(?:\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}|[0-9]{3}-[0-9]{
 NAME = r"(?<![\p{L}])(?:Mr|Mrs|Ms|Dr|Prof|[A-Z][a-z]{1,15})\.? [A-Z][a-z]{1,15}(?![\p{L}])"
 ADDED_KINDS = ("secret", "id", "name")
 
-#: Frequent given names, a gazetteer of general knowledge.
-GIVEN_NAMES = "James John Robert Michael William David Richard Joseph Thomas Charles Mary Patricia Jennifer Linda Elizabeth Barbara Susan Jessica Sarah Karen Hans Peter Klaus Jürgen Anna Maria Jean Pierre Marie Sophie Jose Juan Carlos Luis Carmen Laura".split()
+# Frequent given and family names of several countries, the default gazetteer; callers pass a longer one.
+GIVEN_NAMES = (
+    "James John Robert Michael William David Richard Joseph Thomas Charles Christopher Daniel Matthew Anthony Mark Donald Steven Paul Andrew Joshua "
+    "Kenneth Kevin Brian George Timothy Ronald Edward Jason Jeffrey Ryan Jacob Gary Nicholas Eric Jonathan Stephen Larry Justin Scott Brandon "
+    "Benjamin Samuel Gregory Alexander Patrick Frank Raymond Jack Dennis Jerry Mary Patricia Jennifer Linda Elizabeth Barbara Susan Jessica Sarah Karen "
+    "Lisa Nancy Betty Margaret Sandra Ashley Kimberly Emily Donna Michelle Carol Amanda Dorothy Melissa Deborah Stephanie Rebecca Sharon Laura Cynthia "
+    "Hans Peter Klaus Wolfgang Stefan Andreas Anna Maria Ursula Sabine Jean Pierre Michel Philippe Marie Sophie Jose Juan Carlos Luis Carmen Ana "
+    "Giovanni Giuseppe Giulia Ivan Olga Natalia Ahmed Mohammed Fatima Wei Ming Hiroshi Yuki Raj Priya"
+).split()
+FAMILY_NAMES = (
+    "Smith Johnson Williams Brown Jones Garcia Miller Davis Rodriguez Martinez Hernandez Lopez Gonzalez Wilson Anderson Taylor Moore Jackson Martin Lee "
+    "Perez Thompson Harris Sanchez Clark Ramirez Lewis Robinson Walker Young Allen King Wright Scott Torres Nguyen Hill Flores Adams Nelson "
+    "Schmidt Schneider Fischer Weber Meyer Wagner Becker Dubois Durand Leroy Moreau Rossi Russo Ferrari Silva Santos Ivanov Petrov Kim Patel Singh Tanaka Suzuki Chen Wang"
+).split()
+#: Numbers that the issuing plans allow: of social security (no area 000, 666 or 9xx, no group 00, no serial 0000) and of
+#: telephones (area and exchange from 2, no area x9x, no exchange x11 and none of the fictitious 555-01xx).
+ISSUED = r"^(?:(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}|\(?[2-9][0-8][0-9](?:\) ?|-)(?!555-01)[2-9](?!11)[0-9]{2}-[0-9]{4})$"
+#: Words that make two capitalised words a place, a date or a heading: the content labeler never votes for a name, only against.
+COMMON = (
+    r"\b(?:Street|Road|Avenue|Square|City|Town|County|Valley|Lake|River|Mountain|Island|Bay|Harbor|Bridge|Station|Hotel|Palace|Museum|Park|Church|School|College|University|Hospital"
+    r"|Monday|Tuesday|Wednesday|Thursday|Friday|Saturday|Sunday|Morning|Evening|January|February|April|June|July|August|September|October|November|December"
+    r"|Company|Bank|Council|Court|Act|Chapter|Section|New|North|South|East|West|Saint|United|Royal|National|The|This|That|With|From|And)\b"
+)
+TITLES = ("Mr", "Mrs", "Ms", "Dr", "Prof")
 #: Words that announce a span of each kind, and words that speak against one.
 CUES = {
     "secret": r"(?:token|secret|passw(?:or)?d|api[_-]?key|access[_-]?key|bearer|private[_-]?key)",
@@ -199,7 +221,26 @@ def _vote(yes: Column, no: Column) -> Column:
     return F.when(yes, F.lit(1)).when(no, F.lit(-1)).otherwise(F.lit(0))
 
 
-def labelled(spans: Column) -> Column:
+@dataclass(frozen=True)
+class Gazetteer:
+    """Names that the gazetteer labeler knows, looked up by hash, so that there may be many thousands."""
+
+    given: tuple[str, ...] = tuple(GIVEN_NAMES)
+    family: tuple[str, ...] = tuple(FAMILY_NAMES)
+
+    def votes(self, name: Column) -> Column:
+        """1 for a known given name (behind a title too) or a known family name, 0 for a title with an unknown one, else -1."""
+        first, last = F.rtrim(F.substring_index(name, " ", 1), F.lit(".")), F.substring_index(name, " ", -1)
+        titled = first.isin(*TITLES)
+        known = first.isin(*self.given) | last.isin(*self.family) | (titled & last.isin(*self.given))
+        return _vote(known, ~titled)
+
+
+#: The names of general knowledge above.
+KNOWN = Gazetteer()
+
+
+def labelled(spans: Column, known: Gazetteer = KNOWN) -> Column:
     """Candidates with their votes (v0..v3) and features (len, next): array<struct>."""
 
     def one(s: Column) -> Column:
@@ -211,12 +252,11 @@ def labelled(spans: Column) -> Column:
             _vote(m.rlike(r"^(?:[0-9]{3}-[0-9]{2}-[0-9]{4}|\([0-9]{3}\).*)$"), m.rlike("^000|^\\(000")),
             _vote(m.rlike(r"^(?:Mr|Mrs|Ms|Dr|Prof)\.? "), m.rlike(r"^(?:The|And|Of|In|On|A|La|De|Der|Die|El|Le|Les) ")),
         )
-        names = "^(?:" + "|".join(GIVEN_NAMES) + ") "
-        gazetteer = by(_vote(m.rlike(r"^(?:sk|pk|ghp|xox[bp]|AKIA|eyJ)"), m.rlike(r"(?:__|--|==.|//)")), _vote(F.lit(False), m.rlike(r"555-01[0-9]{2}$|^(?:666|9)")), _vote(m.rlike(names), ~m.rlike(names)))
+        gazetteer = by(_vote(m.rlike(r"^(?:sk|pk|ghp|xox[bp]|AKIA|eyJ)"), m.rlike(r"(?:__|--|==.|//)")), _vote(m.rlike(ISSUED), ~m.rlike(ISSUED)), known.votes(m))
         cue = by(_vote(left.rlike(CUES["secret"]), left.rlike(AGAINST["secret"])), _vote(left.rlike(CUES["id"]), left.rlike(AGAINST["id"])), _vote(left.rlike(CUES["name"]), left.rlike(AGAINST["name"]) | (s["start"] == 0)))
         distinct = F.size(F.array_distinct(F.split(m, "")))
         digits = F.length(_digits(m)).cast("double") / F.length(m)
-        content = by(_vote((distinct >= 10) & digits.between(0.2, 0.95), (digits < 0.1) | (distinct < 6)), _vote(distinct >= 6, distinct < 4), _vote(F.length(m).between(8, 24), distinct < 5))
+        content = by(_vote((distinct >= 10) & digits.between(0.2, 0.95), (digits < 0.1) | (distinct < 6)), _vote(distinct >= 6, distinct < 4), _vote(F.lit(False), (distinct < 5) | m.rlike(COMMON)))
         size = F.when(F.length(m) < 16, 0).when(F.length(m) < 36, 1).otherwise(2)
         follow = F.when(after.rlike("[\"'>]"), 0).when((after == "") | after.rlike(r"\s"), 1).otherwise(2)
         return F.struct(kind.alias("kind"), s["start"].alias("start"), s["stop"].alias("stop"), shape.alias("v0"), gazetteer.alias("v1"), cue.alias("v2"), content.alias("v3"), size.alias("len"), follow.alias("next"))
@@ -333,11 +373,11 @@ def accepted(model: SpanModel, base: Column, cands: Column) -> Column:
     return _once(sure, lambda c: _once(_clear(c, base), of))
 
 
-def examined(docs: DataFrame, text: str = "text") -> DataFrame:
+def examined(docs: DataFrame, text: str = "text", known: Gazetteer = KNOWN) -> DataFrame:
     """docs with base (array<struct<kind,start,stop>>) and cands (with votes)."""
     t = F.coalesce(F.col(text).cast("string"), F.lit(""))
     found = docs.withColumns({"__base": base_spans(t), "__cands": candidate_spans(t)})
-    return found.withColumns({"base": F.transform("__base", _bare), "cands": labelled(F.col("__cands"))}).drop("__base", "__cands")
+    return found.withColumns({"base": F.transform("__base", _bare), "cands": labelled(F.col("__cands"), known)}).drop("__base", "__cands")
 
 
 def joined(spans: Column) -> Column:
@@ -378,12 +418,12 @@ def redact(text: Column, spans: Column) -> Column:
     return _once(spans, lambda found: F.when(F.size(found) > 0, F.concat(_once(cuts(found), put), rest(found))).otherwise(text))
 
 
-def pii_fit(docs: DataFrame, text: str = "text") -> SpanModel:
+def pii_fit(docs: DataFrame, text: str = "text", known: Gazetteer = KNOWN) -> SpanModel:
     """Estimate reliabilities and train the classifier from the votes on all candidates of all documents."""
-    return fit_cells(count_cells(examined(docs.select(F.col(text).alias("_t")), "_t").select("cands")))
+    return fit_cells(count_cells(examined(docs.select(F.col(text).alias("_t")), "_t", known).select("cands")))
 
 
-def pii_spans(docs: DataFrame, model: SpanModel, text: str = "text") -> DataFrame:
+def pii_spans(docs: DataFrame, model: SpanModel, text: str = "text", known: Gazetteer = KNOWN) -> DataFrame:
     """docs with base and added: arrays of struct<kind, start, stop>.
 
     All columns of docs pass through untouched and in place; one that is itself named base or added is called base_input
@@ -399,11 +439,11 @@ def pii_spans(docs: DataFrame, model: SpanModel, text: str = "text") -> DataFram
             c += "_input"
         return c
 
-    found = examined(docs.toDF(*names), names[docs.columns.index(text)])
+    found = examined(docs.toDF(*names), names[docs.columns.index(text)], known)
     return found.select(*[F.col(n).alias(name(c)) for c, n in zip(docs.columns, names)], "base", accepted(model, F.col("base"), F.col("cands")).alias("added"))
 
 
-def redacted_documents(docs: DataFrame, text: str = "text", n_chars: str = "n_chars") -> DataFrame:
+def redacted_documents(docs: DataFrame, text: str = "text", n_chars: str = "n_chars", known: Gazetteer = KNOWN) -> DataFrame:
     """docs with every span of the text replaced by its kind and the character count renewed; null texts stay null.
 
     Patterns run once: rows with their spans and votes go to the checkpoint folder, and both the fit and the redaction
@@ -411,7 +451,7 @@ def redacted_documents(docs: DataFrame, text: str = "text", n_chars: str = "n_ch
     """
     names = [f"_c{i}" for i in range(len(docs.columns))]
     narrow = docs.toDF(*names).withColumn("_t", F.col(names[docs.columns.index(text)]).cast("string"))
-    seen = checkpoint(examined(narrow, "_t").drop("_t"))
+    seen = checkpoint(examined(narrow, "_t", known).drop("_t"))
     model = fit_cells(count_cells(seen))
     own = F.col(names[docs.columns.index(text)])
     clean = seen.withColumn("_clean", redact(own, F.concat("base", accepted(model, F.col("base"), F.col("cands")))))
