@@ -92,11 +92,13 @@ def noise_log_prob(noise: Column, data: Column, mean: Column, rate: Column, shap
 
 
 def flat_index(cell_pos: Column, gene_pos: Column, genes: int) -> Column:
+    """One number for a cell and a gene; there is a way back only where every gene's position is in [0, genes)."""
     return cell_pos.cast("bigint") * genes + gene_pos
 
 
 def cell_of(index: Column, genes: int) -> Column:
-    return F.floor(index / F.lit(genes)).cast("bigint")
+    """Whole-number division, rounded down: a quotient in doubles would err beyond 2**53."""
+    return F.call_function("div", index - F.pmod(index, F.lit(genes)), F.lit(genes)).cast("bigint")
 
 
 def gene_of(index: Column, genes: int) -> Column:
