@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import math
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -216,21 +220,139 @@ def log_mean_exp(rows: DataFrame, keys: list[str], value: str, step: float = 256
     return one.select(*keys, (step * F.col("_top") + F.ln(total) - F.ln("_n")).alias(value))
 
 
-def posterior_from_latents(entries: DataFrame, counts: int = 20, least: float = -10.0) -> DataFrame:
+#: Logarithms of factorials that are looked up; larger ones come from the series.
+FACTORIALS = 1 << 12
+_LOG_FACTORIAL = np.array([math.lgamma(k + 1) for k in range(FACTORIALS)])
+
+
+def _log_gamma(x: np.ndarray) -> np.ndarray:
+    """log Gamma for x > 0, as stats.lgamma."""
+    y = x + 8
+    inv = 1 / y
+    series = (y - 0.5) * np.log(y) - y + 0.5 * math.log(2 * math.pi) + inv / 12 - inv**3 / 360 + inv**5 / 1260 - inv**7 / 1680 + inv**9 / 1188
+    product = x.copy()
+    for k in range(1, 8):
+        product *= x + k
+    return series - np.log(product)
+
+
+def _log_factorial(k: np.ndarray) -> np.ndarray:
+    if k.dtype.kind == "i" and k.max(initial=0) < FACTORIALS:
+        return _LOG_FACTORIAL[k]
+    return _log_gamma(k + 1.0)
+
+
+def _starts(column: pa.Array) -> np.ndarray:
+    """Whether a row's value, which may be null, differs from that of the row before."""
+    now, before = column[1:], column[:-1]
+    same = pc.fill_null(pc.equal(now, before), False).to_numpy(zero_copy_only=False) | (now.is_null().to_numpy(zero_copy_only=False) & before.is_null().to_numpy(zero_copy_only=False))
+    return np.concatenate(([True], ~same))
+
+
+def _whole_entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows, sorted by their first column, in batches that cut none of its values' rows apart."""
+    held: list[pa.RecordBatch] = []
+    for b in batches:
+        if not b.num_rows:
+            continue
+        begin = np.flatnonzero(_starts(b.column(0)))
+        if held:
+            last = held[-1].column(0)
+            if not _starts(pa.concat_arrays([last.slice(len(last) - 1), b.column(0).slice(0, 1)]))[1]:
+                if len(begin) == 1:
+                    held.append(b)
+                    continue
+                held.append(b.slice(0, begin[1]))
+                b, begin = b.slice(begin[1]), begin[1:] - begin[1]
+            yield pa.concat_batches(held)
+        if begin[-1]:
+            yield b.slice(0, begin[-1])
+        held = [b.slice(begin[-1])]
+    if held:
+        yield pa.concat_batches(held)
+
+
+def _floats(column: pa.Array) -> np.ndarray:
+    return pc.fill_null(column, np.nan).to_numpy(zero_copy_only=False)
+
+
+def _posterior(counts: int, least: float, samples: bool, shapes: bool):
+    """Batches of (m, n, mean, rate[, shape][, sample]), all rows of an m in one, to (m, c, off, log_prob)."""
+
+    def of(b: pa.RecordBatch) -> pa.RecordBatch:
+        entry = np.cumsum(_starts(b.column(0))) - 1
+        known = np.ones(b.num_rows, bool)
+        for i in range(1, 5 if shapes else 4):
+            known &= b.column(i).is_valid().to_numpy(zero_copy_only=False)
+        n = b.column(1).fill_null(0).to_numpy(zero_copy_only=False)
+        mean, rate = _floats(b.column(2)), _floats(b.column(3))
+        middle = rate
+        if samples:
+            some = b.column(3).is_valid().to_numpy(zero_copy_only=False)
+            with np.errstate(invalid="ignore", divide="ignore"):
+                middle = (np.bincount(entry, np.where(some, rate, 0.0)) / np.bincount(entry, some))[entry]
+        # without a logarithm an entry has no probabilities
+        known &= ~(mean <= 0) & ~(rate <= 0) & ~(n < 0)
+        at = np.flatnonzero(known)
+        shape = _floats(b.column(4)) if shapes else None
+        if shapes:
+            at = at[shape[at] > 0]
+        sample = np.zeros(b.num_rows, np.int64)
+        if samples:
+            code = b.column(b.num_columns - 1).dictionary_encode()
+            sample = pc.fill_null(code.indices, -1).to_numpy(zero_copy_only=False)
+            at = at[np.lexsort((sample[at], entry[at]))]
+        n, mean, rate, entry, sample = n[at], mean[at], rate[at], entry[at], sample[at]
+        off = np.maximum(np.minimum(np.trunc(middle[at] - counts / 2), np.trunc(n - counts + 1)), 0).astype(np.int64)
+        noise = off[:, None] + np.arange(counts)
+        valid = noise <= n[:, None]
+        rest = np.maximum(n[:, None] - noise, 0)
+        prob = noise * np.log(rate)[:, None] - rate[:, None] - _log_factorial(noise)
+        if shapes:
+            s, mu = shape[at][:, None], mean[:, None]
+            prob += _log_gamma(rest + s) - _log_gamma(s) - _log_factorial(rest) + s * np.log(s / (s + mu)) + rest * np.log(mu / (s + mu))
+        else:
+            prob += rest * np.log(mean)[:, None] - mean[:, None] - _log_factorial(rest)
+        prob[~valid] = -np.inf
+        if len(at):
+            first = np.flatnonzero(np.concatenate(([True], (entry[1:] != entry[:-1]) | (sample[1:] != sample[:-1]))))
+            group = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(at))))
+            top = np.maximum.reduceat(prob.max(axis=1), first)
+            total = np.add.reduceat(np.exp(prob - top[group][:, None]).sum(axis=1), first)
+            prob -= (top + np.log(total))[group][:, None]
+        if samples and len(at):
+            order = np.lexsort((off, entry))
+            prob, valid, entry, off, at = prob[order], valid[order], entry[order], off[order], at[order]
+            first = np.flatnonzero(np.concatenate(([True], (entry[1:] != entry[:-1]) | (off[1:] != off[:-1]))))
+            group = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(at))))
+            top = np.maximum.reduceat(prob, first, axis=0)
+            top[top == -np.inf] = 0.0
+            rows = np.add.reduceat(valid.astype(np.int64), first, axis=0)
+            with np.errstate(divide="ignore"):
+                prob = top + np.log(np.add.reduceat(np.exp(prob - top[group]), first, axis=0)) - np.log(np.maximum(rows, 1))
+            valid, off, at = rows > 0, off[first], at[first]
+        row, c = np.nonzero(valid & ~(prob < least))
+        return pa.RecordBatch.from_arrays([b.column(0).take(pa.array(at[row])), pa.array(c.astype(np.int32)), pa.array(off[row]).cast(pa.int32()), pa.array(prob[row, c])], names=["m", "c", "off", "log_prob"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from map(of, _whole_entries(batches))
+
+    return run
+
+
+def posterior_from_latents(entries: DataFrame, counts: int = 20, least: float = -10.0, dealt: bool = False) -> DataFrame:
     """(m, c, log_prob) and offsets from entries (m, n, mean, rate[, shape][, sample]) of trained latents.
 
     Counts start at max(0, min(rate - counts / 2, n - counts + 1)); the offset is their start. Where an entry has several samples
     of its latents, each one's probabilities are normalised and then averaged, and the start comes from their mean rate.
+
+    Entries, not their counts, are shuffled, so that those of one m meet (`dealt`: they are side by side in one partition
+    already); their counts are a matrix inside the task.
     """
-    from cytoframe.functions.stats import noise_log_prob
-
-    several = "sample" in entries.columns
-    rows = entries.repartition("m").withColumn("_rate", F.avg("rate").over(Window.partitionBy("m"))) if several else entries.withColumn("_rate", F.col("rate"))
-    first = F.greatest(F.least((F.col("_rate") - counts / 2).cast("int"), (F.col("n") - counts + 1).cast("int")), F.lit(0))
-    grid = rows.withColumn("off", first).withColumn("c", F.explode(F.sequence(F.lit(0), F.lit(counts - 1))))
-    shape = F.col("shape") if "shape" in entries.columns else None
-    scored = grid.withColumn("log_prob", noise_log_prob(F.col("c") + F.col("off"), F.col("n"), F.col("mean"), F.col("rate"), shape)).where("log_prob is not null")
-    if not several:
-        return sparsified(normalised(scored.select("m", "c", "off", "log_prob")), least)
-    each = normalised(scored.select("m", "sample", "c", "off", "log_prob"), ["m", "sample"])
-    return sparsified(log_mean_exp(each, ["m", "c", "off"], "log_prob"), least)
+    names = entries.columns
+    whole = dict(entries.dtypes)["n"] in ("tinyint", "smallint", "int", "bigint")
+    number = [F.col(k).cast("double").alias(k) for k in ("mean", "rate", "shape") if k in names]
+    rows = entries.select("m", F.col("n").cast("bigint" if whole else "double").alias("n"), *number, *[k for k in ("sample",) if k in names])
+    if not dealt:
+        rows = rows.repartition("m").sortWithinPartitions("m")
+    return rows.mapInArrow(_posterior(counts, least, "sample" in names, "shape" in names), f"m {dict(entries.dtypes)['m']}, c int, off int, log_prob double")
