@@ -105,25 +105,39 @@ def log_likelihoods(x: DataFrame, shares: DataFrame, lower: int, alpha: float |
     return per.select("cell", "total", (F.col("s") + whole).alias("ll"))
 
 
-def _simulated(p: np.ndarray, totals: np.ndarray, seed: int, alpha: float | None):
-    """One random sequence of draws for each id; its running likelihood at every total needed, so that draws serve all totals."""
+def _simulated(p: np.ndarray, genes: np.ndarray, totals: np.ndarray, seed: int, alpha: float | None):
+    """One random sequence of draws for each id; its running likelihood at every total needed, so that draws serve all totals.
+
+    p are the distinct shares and `genes` how many genes have each. Genes of one share are alike, so a draw first takes a share
+    (a Dirichlet over shares, as sums of its parts) and then a gene of it by an urn: one of the draws of that share before, or any
+    of its genes. That is the distribution of drawing from all genes, without a number for each gene.
+    """
     most = int(totals[-1])
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        at = np.arange(most)
         for frame in frames:
             for i in frame["id"]:
                 rng = np.random.default_rng([seed, int(i)])
-                edges = np.cumsum(p if alpha is None else rng.gamma(alpha * p))
-                genes = np.minimum(np.searchsorted(edges, rng.random(most) * edges[-1]), len(p) - 1)
-                order = np.argsort(genes, kind="stable")
-                ranked = genes[order]
-                first = np.concatenate(([True], ranked[1:] != ranked[:-1]))
-                begin = np.maximum.accumulate(np.where(first, np.arange(most), 0))
+                edges = np.cumsum(p * genes if alpha is None else rng.gamma(alpha * p * genes))
+                kinds = np.minimum(np.searchsorted(edges, rng.random(most) * edges[-1], side="right"), len(p) - 1)
+                steps = np.argsort(kinds, kind="stable")
+                kind = kinds[steps]
+                gene = rng.integers(0, genes[kind])
+                if alpha is not None:
+                    before = at - np.searchsorted(kind, kind)
+                    again = rng.random(most) * (before + alpha * p[kind] * genes[kind]) < before
+                    source = np.where(again, at - before + np.floor(rng.random(most) * before).astype(np.int64), at)
+                    while (source != (source := source[source])).any():
+                        pass
+                    gene = gene[source]
+                order = np.lexsort((gene, kind))
+                first = np.concatenate(([True], (np.diff(kind[order]) != 0) | (np.diff(gene[order]) != 0)))
                 rank = np.empty(most)
-                rank[order] = np.arange(most) - begin + 1
-                steps = np.arange(1, most + 1)
-                one = np.log(p[genes]) if alpha is None else np.log(rank - 1 + alpha * p[genes]) - np.log(steps - 1 + alpha)
-                running = np.cumsum(one - np.log(rank) + np.log(steps))
+                rank[steps[order]] = at - np.maximum.accumulate(np.where(first, at, 0)) + 1
+                step = at + 1
+                one = np.log(p[kinds]) if alpha is None else np.log(rank - 1 + alpha * p[kinds]) - np.log(step - 1 + alpha)
+                running = np.cumsum(one - np.log(rank) + np.log(step))
                 yield pd.DataFrame({"total": totals, "sim": running[totals - 1]})
 
     return run
@@ -133,18 +147,20 @@ def empty_droplet_test(x: DataFrame, lower: int = 100, rounds: int = 1000, fdr:
     """(cell, total, p, fdr, non_empty) of droplets above `lower` counts; alpha is a concentration, 'fit' to estimate it, or None
     for a plain multinomial.
 
-    The ambient profile (a share for each gene) and the distinct totals go to the simulating tasks; both are bounded by
-    the number of genes and the largest total, not by droplets.
+    The distinct shares of the ambient profile, with the number of genes of each, and the distinct totals go to the simulating
+    tasks. Shares are no more than the distinct ambient counts of a gene, totals no more than the largest; neither grows with
+    genes or droplets as such.
     """
     spark = x.sparkSession
     shares = saved(ambient_shares(x, lower))
     alpha = concentration(x, shares, lower) if alpha == "fit" else alpha
     seen = log_likelihoods(x, shares, lower, alpha)
-    p = np.array([r["p"] for r in shares.orderBy("gene").select("p").collect()])
+    kinds = sorted(tuple(r) for r in shares.groupBy("p").agg(F.count("*").alias("k")).collect())
+    p, genes = np.array([r[0] for r in kinds]), np.array([r[1] for r in kinds], np.int64)
     totals = np.array(sorted(r["total"] for r in seen.select("total").distinct().collect()), np.int64)
     if not len(totals):
         return seen.select("cell", "total", F.lit(None).cast("double").alias("p"), F.lit(None).cast("double").alias("fdr"), F.lit(False).alias("non_empty"))
-    sims = spark.range(rounds).mapInPandas(_simulated(p, totals, seed, alpha), "total bigint, sim double").groupBy("total").agg(F.collect_list("sim").alias("sims"))
+    sims = spark.range(rounds).mapInPandas(_simulated(p, genes, totals, seed, alpha), "total bigint, sim double").groupBy("total").agg(F.collect_list("sim").alias("sims"))
     below = F.size(F.filter("sims", lambda s: s <= F.col("ll")))
     tested = seen.join(sims, "total").select("cell", "total", ((below + 1) / F.lit(rounds + 1.0)).alias("p"))
     return benjamini_hochberg(tested).withColumn("non_empty", F.col("fdr") <= fdr)

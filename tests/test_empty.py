@@ -82,3 +82,57 @@ def test_likelihoods(spark):
             want = math.lgamma(t + 1) - sum(math.lgamma(n + 1) for _, n in own)
             want += sum(n * math.log(p[g]) for g, n in own) if alpha is None else math.lgamma(alpha) - math.lgamma(t + alpha) + sum(math.lgamma(n + alpha * p[g]) - math.lgamma(alpha * p[g]) for g, n in own)
             assert r["total"] == t and abs(r["ll"] - want) < 1e-6
+
+
+def test_simulated_by_shares():
+    """Draws by distinct shares against draws from every gene: the same mean, spread and quantiles of the likelihood at each total."""
+    import pandas as pd
+
+    p, genes, totals = np.array([0.002, 0.01, 0.1]), np.array([50, 30, 6]), np.array([1, 5, 40, 120])
+    every = np.repeat(p, genes)
+    assert abs(every.sum() - 1) < 1e-9
+    for alpha in (None, 3.0, 200.0):
+        frames = empty._simulated(p, genes, totals, 7, alpha)(iter([pd.DataFrame({"id": range(4000)})]))
+        got = np.array([f["sim"].to_numpy() for f in frames])
+        r = np.random.default_rng(1)
+        want = np.empty((4000, len(totals)))
+        for k in range(4000):
+            own = every if alpha is None else r.dirichlet(alpha * every)
+            drawn = r.choice(len(every), totals[-1], p=own)
+            for j, t in enumerate(totals):
+                n = np.bincount(drawn[:t], minlength=len(every))
+                kept = np.flatnonzero(n)
+                ll = math.lgamma(t + 1) - sum(math.lgamma(x + 1) for x in n[kept])
+                if alpha is None:
+                    ll += float((n[kept] * np.log(every[kept])).sum())
+                else:
+                    ll += math.lgamma(alpha) - math.lgamma(t + alpha) + sum(math.lgamma(x + alpha * q) - math.lgamma(alpha * q) for x, q in zip(n[kept], every[kept]))
+                want[k, j] = ll
+        # equal likelihoods of few draws differ by errors of rounding
+        got, want = got.round(6), want.round(6)
+        for j in range(len(totals)):
+            # two samples of 4000: four standard errors
+            error = math.sqrt((got[:, j].var() + want[:, j].var()) / 4000)
+            assert abs(got[:, j].mean() - want[:, j].mean()) < 4 * error + 1e-9
+            if j:
+                both = np.sort(np.concatenate((got[:, j], want[:, j])))
+                gap = np.abs(np.searchsorted(np.sort(got[:, j]), both, "right") - np.searchsorted(np.sort(want[:, j]), both, "right")).max() / 4000
+                assert gap < 0.045
+
+
+def test_driver_sees_no_gene(spark, monkeypatch):
+    """However many genes there are, the driver gets a row for each distinct share only."""
+    rows = spark.range(30000).selectExpr("id % 500 as cell", "id as gene", "cast(1 + id % 3 as bigint) as n")
+    x = rows.where("cell > 50 or gene < 1000")
+    frame, fetched = type(x), []
+    whole = frame.collect
+
+    def collect(self):
+        out = whole(self)
+        fetched.append(len(out))
+        return out
+
+    monkeypatch.setattr(frame, "collect", collect)
+    out = empty.empty_droplet_test(x, lower=100, rounds=20)
+    assert max(fetched) < 200
+    assert x.select("gene").distinct().count() > 20000 and out.count() > 100
